@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txnwatch.plans import catalog_contract, catalog_features  # noqa: F401
+from txnwatch.plans import catalog_contract, catalog_features, catalog_state  # noqa: F401
 from txnwatch.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
