@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txnwatch.plans import catalog_contract, catalog_evaluate, catalog_features, catalog_graph, catalog_state  # noqa: F401
+from txnwatch.plans import catalog_alerts, catalog_contract, catalog_evaluate, catalog_features, catalog_graph, catalog_state  # noqa: F401
 from txnwatch.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
