@@ -73,19 +73,51 @@ def values_at_ranks(values: DataFrame, value_col: str, ranks: list[int]) -> Data
     that range are found by binary search (Bucketizer) over the sorted rank
     list, so no per-row scan over all ranks is needed.
     """
-    targets = sorted(set(int(r) for r in ranks))
     hist = values.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
-    h = prefix_sums(hist, [value_col], ["_n"]).withColumn("_lo", F.col("_n_before"))
-    h = h.withColumn("_a", (F.col("_lo") - 1).cast("double")).withColumn(
-        "_b", (F.col("_lo") + F.col("_n") - 1).cast("double"))
+    return _pick_ranks(prefix_sums(hist, [value_col], ["_n"]), value_col, ranks)
+
+
+def grouped_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
+    """Exact median (mean of the two middle values) of each column, all
+    columns in one pass: (column, value) histogram -> prefix sums ordered by
+    (column, value) -> the middle ranks per column.  Nulls are ignored."""
+    spark = df.sparkSession
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_f"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_x")) \
+        .select("_x._f", "_x._v").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    hist = long.groupBy("_f", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = {r["_f"]: int(r["n"]) for r in hist.groupBy("_f").agg(F.sum("_n").alias("n")).collect()}
+    base, targets, want = 0, [], {}
+    for c in sorted(counts):
+        n = counts[c]
+        j, r = (n - 1) // 2, (n - 1) % 2
+        want[c] = (base + j, base + j + 1 if r else None)
+        targets += [base + j] + ([base + j + 1] if r else [])
+        base += n
+    if not targets:
+        return {c: None for c in cols}
+    h = prefix_sums(hist, ["_f", "_v"], ["_n"])
+    got = {int(r["rank"]): float(r["value"]) for r in _pick_ranks(h, "_v", targets).collect()}
+    del spark
+    out: dict[str, float | None] = {c: None for c in cols}
+    for c, (a, b) in want.items():
+        out[c] = got[a] if b is None else (got[a] + got[b]) / 2.0
+    return out
+
+
+def _pick_ranks(h: DataFrame, value_col: str, ranks: list[int]) -> DataFrame:
+    """Rows of a histogram with ``_n`` and ``_n_before`` that cover the given
+    global ranks, as (rank, value)."""
+    targets = sorted(set(int(r) for r in ranks))
+    h = h.withColumn("_a", (F.col("_n_before") - 1).cast("double")).withColumn(
+        "_b", (F.col("_n_before") + F.col("_n") - 1).cast("double"))
     splits = [t - 0.5 for t in targets]
     h = bucket_index("_a", splits, "_ba").transform(h)
     h = bucket_index("_b", splits, "_bb").transform(h)
     arr = F.array(*[F.lit(t).cast("long") for t in targets])
-    picked = h.where(F.col("_bb") > F.col("_ba")).select(
+    return h.where(F.col("_bb") > F.col("_ba")).select(
         F.explode(F.slice(arr, F.col("_ba").cast("int") + 1, (F.col("_bb") - F.col("_ba")).cast("int"))).alias("rank"),
         F.col(value_col).alias("value"))
-    return picked
 
 
 def lerp(a: float, b: float, t: float) -> float:
