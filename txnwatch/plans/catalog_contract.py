@@ -125,6 +125,16 @@ def q_clean(spark, sf_dir):
     return cleaned
 
 
+@register("order_by_time", duckdb_with("raw_txn") + "," + TYPED_SQL
+          + "SELECT seq, row_number() OVER (ORDER BY timestamp, seq) - 1 AS row_index FROM cleaned")
+def q_order_by_time(spark, sf_dir):
+    """Stable time order of the cleaned table, shown as each row's position."""
+    from txnwatch.operators.ordinal import with_ordinal
+    cleaned, _ = ct.clean(raw(spark, sf_dir))
+    ordered = ct.order_by_time(cleaned)
+    return with_ordinal(ordered, ["timestamp", "seq"], "row_index").select("seq", "row_index")
+
+
 def _rule(col: str, lo: int, hi: int) -> str:
     return (f"CASE WHEN {col} IS NULL OR length({col}) < {lo} OR length({col}) > {hi} "
             f"THEN '{col}:length_{lo}_{hi}' END")

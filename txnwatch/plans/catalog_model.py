@@ -91,11 +91,25 @@ def q_predict(spark, sf_dir):
     return ml.predict_score(model, prep, s.where(F.col("split") == "test"), keep=["seq"])
 
 
-@register("model_bundle")
-def q_bundle(spark, sf_dir):
-    """Save a bundle, load it back, score the test split with the loaded model."""
+def _saved(spark, sf_dir):
     s, model, prep = _fit(spark, sf_dir)
     path = files.scratch_path(spark, "bundle")
     ml.save_bundle(ml.Bundle(model, prep, 0.5, "check", {"rows": s.count()}), path)
+    return s, path
+
+
+@register("model_bundle_save")
+def q_bundle_save(spark, sf_dir):
+    """Save a bundle; return its metadata as read back from storage."""
+    _, path = _saved(spark, sf_dir)
+    b = ml.load_bundle(spark, path)
+    return spark.createDataFrame([(b.model_version, b.threshold, int(b.metadata["rows"]), b.model.getNumTrees)],
+                                 "model_version string, threshold double, rows long, trees int")
+
+
+@register("model_bundle_load")
+def q_bundle_load(spark, sf_dir):
+    """Load a saved bundle (type-checked) and score the test split with it."""
+    s, path = _saved(spark, sf_dir)
     b = ml.load_bundle(spark, path)
     return ml.predict_score(b.model, b.prep, s.where(F.col("split") == "test"), keep=["seq"])
