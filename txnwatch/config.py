@@ -27,8 +27,8 @@ class Params:
     psi_warning: float = 0.10
     psi_critical: float = 0.25
     # Width of the time chunks that split one account's history across tasks
-    # (see operators/history.py). Smaller chunks bound the work of a hot account.
-    history_chunk_seconds: int = 3600
+    # (see operators/history.py); None sizes it from the data.
+    history_chunk_seconds: int | None = None
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -69,11 +69,17 @@ def node_measures(edges: DataFrame) -> DataFrame:
 
 
 def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: float = 1.0e-6,
-             fail_if_not_converged: bool = True, checkpoint_every: int = 1) -> DataFrame:
+             fail_if_not_converged: bool = True, checkpoint_every: int = 5) -> DataFrame:
     """Weighted PageRank over (src, dst, weight).
 
     Uniform start and restart, dangling mass (out-weight 0) spread uniformly,
     stop when the L1 change is below ``N * tol``.  Returns (account, pagerank).
+
+    One step is a join of the normalised edges (partitioned by ``src`` once)
+    with the ranks and an aggregation by ``dst``.  Ranks are persisted between
+    steps, and every ``checkpoint_every`` steps written as a reliable
+    checkpoint (shared checkpoint folder) to cut lineage.  One small action
+    per step returns both the L1 change and the next dangling mass.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -89,21 +95,26 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: fl
                           "account", "left_anti").select("account", F.lit(True).alias("_dangling"))
     base = nodes.join(dangling, "account", "left").select(
         "account", F.coalesce("_dangling", F.lit(False)).alias("_dangling")).checkpoint()
-    ranks = base.select("account", "_dangling", F.lit(1.0 / n).alias("pr"))
     a, inv_n = float(alpha), 1.0 / n
+    ranks = base.select("account", "_dangling", F.lit(inv_n).alias("pr"))
+    dangle = base.where("_dangling").count() * inv_n
+    held = None
     for it in range(1, max_iter + 1):
-        dangle = ranks.where("_dangling").select(F.coalesce(F.sum("pr"), F.lit(0.0))).scalar()
         contrib = (norm.join(ranks.select(F.col("account").alias("src"), "pr"), "src")
                    .groupBy(F.col("dst").alias("account")).agg(F.sum(F.col("pr") * F.col("_nw")).alias("_c")))
         new = (ranks.join(contrib, "account", "left")
                .select("account", "_dangling",
-                       (F.lit(a) * (F.coalesce("_c", F.lit(0.0)) + dangle * F.lit(inv_n)) + F.lit((1 - a) * inv_n)).alias("pr"),
+                       (F.lit(a) * (F.coalesce("_c", F.lit(0.0)) + F.lit(dangle * inv_n)) + F.lit((1 - a) * inv_n)).alias("pr"),
                        F.col("pr").alias("_old")))
-        if it % max(1, checkpoint_every) == 0 or it == max_iter:
-            new = new.checkpoint()
-        err = new.agg(F.sum(F.abs(F.col("pr") - F.col("_old")))).first()[0]
+        new = new.checkpoint() if it % max(1, checkpoint_every) == 0 else new.persist()
+        st = new.agg(F.sum(F.abs(F.col("pr") - F.col("_old"))).alias("err"),
+                     F.coalesce(F.sum(F.when(F.col("_dangling"), F.col("pr"))), F.lit(0.0)).alias("dm")).first()
+        if held is not None:
+            held.unpersist()
+        held = new
         ranks = new.drop("_old")
-        if err < n * tol:
+        dangle = float(st["dm"])
+        if tol > 0 and float(st["err"]) < n * tol:
             return ranks.select("account", F.col("pr").alias("pagerank"))
     if fail_if_not_converged:
         raise PowerIterationFailedConvergence(f"pagerank did not converge in {max_iter} iterations")

@@ -5,7 +5,8 @@ or (sender, receiver) pair that come strictly earlier in ``(timestamp, seq)``
 order.  A plain ``Window.partitionBy(account)`` would put all rows of a hot
 account into one task, so the history is computed as a two-level prefix sum:
 
-1. Rows are cut into time chunks (``floor(epoch_seconds / width)``).  Partial
+1. Rows are cut into time chunks (``floor(epoch_seconds / width)``; the
+   width is sized from the data so a hot account's chunk stays bounded).  Partial
    aggregation gives one small row per (key, chunk); a window over that small
    table gives the totals of all *earlier* chunks (plus a state snapshot, if
    one is given).  These totals become "carry" rows.
@@ -32,13 +33,38 @@ _ORDER = ["_kind", "timestamp", "seq"]
 _UNB = Window.unboundedPreceding
 
 
+MIN_CHUNK_SECONDS = 60
+MAX_CHUNK_SECONDS = 7 * 86400
+
+
+def auto_chunk_seconds(rows: DataFrame, max_rows_per_chunk: int = 5_000_000, hot_fraction: float = 1 / 3) -> int:
+    """Chunk width that bounds the rows of one account in one chunk.
+
+    Assumes a hot account may hold ``hot_fraction`` of all rows spread over
+    the time span; chooses the widest chunk keeping such an account below
+    ``max_rows_per_chunk`` rows per chunk (1 minute .. 7 days).  One small
+    aggregate (count, min, max) over the timestamp column.
+    """
+    st = rows.agg(F.count(F.lit(1)).alias("n"), F.min(F.unix_seconds("timestamp")).alias("lo"),
+                  F.max(F.unix_seconds("timestamp")).alias("hi")).first()
+    n = int(st["n"] or 0)
+    if n == 0 or st["lo"] is None:
+        return MAX_CHUNK_SECONDS
+    span = max(1, int(st["hi"]) - int(st["lo"]))
+    width = int(max_rows_per_chunk * span / (hot_fraction * n))
+    return max(MIN_CHUNK_SECONDS, min(MAX_CHUNK_SECONDS, width))
+
+
 def with_chunk(df: DataFrame, width_seconds: int) -> DataFrame:
     return df.withColumn(CHUNK, F.floor(F.unix_seconds(F.col("timestamp")) / F.lit(int(width_seconds))))
 
 
 def _pair_chunks(r: DataFrame, pair_state: DataFrame | None) -> DataFrame:
-    """(from, to, chunk) -> rows of the pair before this chunk (state included)."""
-    pc = r.groupBy("from_account", "to_account", CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    """(from, to, chunk) -> rows, amount, last time, and rows of the pair in
+    earlier chunks (state included).  The only aggregation over data rows;
+    every carry table is derived from it."""
+    pc = r.groupBy("from_account", "to_account", CHUNK).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("amount_paid").alias("_s"), F.max("timestamp").alias("_lt"))
     w = Window.partitionBy("from_account", "to_account").orderBy(CHUNK).rowsBetween(_UNB, -1)
     pc = pc.withColumn("_prior", F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("long"))
     if pair_state is not None:
@@ -49,17 +75,16 @@ def _pair_chunks(r: DataFrame, pair_state: DataFrame | None) -> DataFrame:
     return pc
 
 
-def _side_carry(r: DataFrame, key: str, new_pairs: DataFrame, state: DataFrame | None,
-                side: str) -> DataFrame:
+def _side_carry(pc: DataFrame, key: str, state: DataFrame | None, side: str) -> DataFrame:
     """(key, chunk) -> count, amount sum, new counterparties and last timestamp
-    of all earlier chunks of this account (plus its state snapshot)."""
-    c = r.groupBy(key, CHUNK).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum("amount_paid").alias("_s"),
-        F.max("timestamp").alias("_lt"),
+    of all earlier chunks of this account (plus its state snapshot), from the
+    pair-chunk table.  A pair first seen in a chunk adds one counterparty."""
+    c = pc.groupBy(key, CHUNK).agg(
+        F.sum("_n").alias("_n"),
+        F.sum("_s").alias("_s"),
+        F.max("_lt").alias("_lt"),
+        F.count_if(F.col("_prior") == 0).alias("_fp"),
     )
-    fp = new_pairs.groupBy(key, CHUNK).agg(F.count(F.lit(1)).alias("_fp"))
-    c = c.join(fp, [key, CHUNK], "left")
     w = Window.partitionBy(key).orderBy(CHUNK)
     prev = w.rowsBetween(_UNB, -1)
     c = c.select(
@@ -67,7 +92,7 @@ def _side_carry(r: DataFrame, key: str, new_pairs: DataFrame, state: DataFrame |
         CHUNK,
         F.coalesce(F.sum("_n").over(prev), F.lit(0)).cast("long").alias("_cn"),
         F.coalesce(F.sum("_s").over(prev), F.lit(0.0)).alias("_cs"),
-        F.coalesce(F.sum(F.coalesce(F.col("_fp"), F.lit(0))).over(prev), F.lit(0)).cast("long").alias("_cfp"),
+        F.coalesce(F.sum("_fp").over(prev), F.lit(0)).cast("long").alias("_cfp"),
         F.lag("_lt").over(w).alias("_clt"),
     )
     if state is not None:
@@ -89,7 +114,7 @@ def _side_carry(r: DataFrame, key: str, new_pairs: DataFrame, state: DataFrame |
     return c
 
 
-def history_counts(rows: DataFrame, chunk_seconds: int = 3600,
+def history_counts(rows: DataFrame, chunk_seconds: int | None = None,
                    account_state: DataFrame | None = None,
                    pair_state: DataFrame | None = None) -> DataFrame:
     """Append raw prior aggregates to ``rows``.
@@ -101,9 +126,9 @@ def history_counts(rows: DataFrame, chunk_seconds: int = 3600,
     (T4) the prior values start from the state instead of zero.
     """
     cols = rows.columns
-    r = with_chunk(rows, chunk_seconds)
+    width = chunk_seconds or auto_chunk_seconds(rows)
+    r = with_chunk(rows, width)
     pc = _pair_chunks(r, pair_state)
-    new_pairs = pc.where(F.col("_prior") == 0)
 
     # Stage 1: pair + sender, one exchange on (from_account, chunk).
     real = r.select(
@@ -117,7 +142,7 @@ def history_counts(rows: DataFrame, chunk_seconds: int = 3600,
     )
     pair_carry = pc.select("from_account", "to_account", CHUNK, F.lit(0).alias("_kind"),
                            F.col("_prior").alias("_pw"))
-    s_carry = _side_carry(r, "from_account", new_pairs, account_state, "sent").select(
+    s_carry = _side_carry(pc, "from_account", account_state, "sent").select(
         "from_account", CHUNK, F.lit(0).alias("_kind"), F.col("_cn").alias("_sn"),
         F.col("_cs").alias("_ss"), F.col("_clt").alias("_sts"), F.col("_cfp"))
     u = (real.repartition("from_account", CHUNK)
@@ -145,7 +170,7 @@ def history_counts(rows: DataFrame, chunk_seconds: int = 3600,
         F.col("timestamp").alias("_rts"),
         F.col("_first").cast("long").alias("_rfp"),
     )
-    r_carry = _side_carry(r, "to_account", new_pairs, account_state, "received").select(
+    r_carry = _side_carry(pc, "to_account", account_state, "received").select(
         "to_account", CHUNK, F.lit(0).alias("_kind"), F.col("_cn").alias("_rn"),
         F.col("_cs").alias("_rs"), F.col("_clt").alias("_rts"), F.col("_cfp").alias("_rfp"))
     u2 = (real2.repartition("to_account", CHUNK)
@@ -190,13 +215,13 @@ def finish_features(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return df.select(*keep, *[feats[name].alias(name) for name in MODEL_FEATURES])
 
 
-def causal_features(txn: DataFrame, chunk_seconds: int = 3600) -> DataFrame:
+def causal_features(txn: DataFrame, chunk_seconds: int | None = None) -> DataFrame:
     """The transaction table plus its 22 numeric + 3 categorical model features."""
     return finish_features(history_counts(txn, chunk_seconds), keep=txn.columns)
 
 
 def live_features(batch: DataFrame, account_state: DataFrame, pair_state: DataFrame,
-                  chunk_seconds: int = 3600) -> DataFrame:
+                  chunk_seconds: int | None = None) -> DataFrame:
     """T4: each transaction sees the state snapshot plus every earlier row of
     the same batch (state updated row by row in (timestamp, seq) order)."""
     h = history_counts(batch, chunk_seconds, account_state=account_state, pair_state=pair_state)

@@ -131,8 +131,16 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Base transaction fixtures are derived with string functions from one raw
+# file each; they are written once per query as a table in the shared
+# checkpoint folder (spread over the shuffle partitions), the way a cleaned
+# transaction table would be stored, so every branch of a plan reads it
+# instead of re-deriving it.
+MATERIALIZED = {"txn", "txn_orders"}
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str, _memo: dict | None = None) -> DataFrame:
-    """Build fixture ``name`` (and the fixtures it reads) as a lazy DataFrame."""
+    """Build fixture ``name`` (and the fixtures it reads) as a DataFrame."""
     memo = {} if _memo is None else _memo
     if name in memo:
         return memo[name]
@@ -142,6 +150,10 @@ def fixture(spark: SparkSession, sf_dir: str, name: str, _memo: dict | None = No
         sql, inputs = FIXTURE_SQL[name]
         args = {i: fixture(spark, sf_dir, i, memo) for i in inputs}
         df = spark.sql(sql, **args)
+        if name in MATERIALIZED:
+            from txnwatch.session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(spark)
+            df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "seq").checkpoint()
     memo[name] = df
     return df
 
