@@ -44,7 +44,9 @@ def test_feature_plan_shuffles_rows_twice(spark):
 
 
 def test_parquet_scan_prunes_columns(spark):
-    f = txn(spark, SF_SMALL).select("seq", "amount_paid")
+    from txnwatch.plans.fixtures import FIXTURE_SQL, driver_table
+    raw_txn = spark.sql(FIXTURE_SQL["txn"][0], events=driver_table(spark, SF_SMALL, "events"))
+    f = raw_txn.select("seq", "amount_paid")
     plan = f._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,value:double>" in plan
 

@@ -42,7 +42,7 @@ def q_alert_id(spark, sf_dir):
 @register("score_batch", duckdb_with("txn") + "," + __import__(
     "txnwatch.plans.catalog_features", fromlist=["FEAT_SQL"]).FEAT_SQL + "," + __import__(
     "txnwatch.plans.catalog_features", fromlist=["REASONS_SQL"]).REASONS_SQL + f"""
-SELECT seq, transaction_id, {ALERT_ID_SQL} AS alert_id, round(risk_score, 6) AS risk_score, 0.65 AS threshold,
+SELECT seq, transaction_id, {ALERT_ID_SQL} AS alert_id, round(risk_score, 6) AS risk_score, CAST(0.65 AS DOUBLE) AS threshold,
        CASE WHEN risk_score >= 0.65 THEN 'alert' ELSE 'allow' END AS decision,
        array_to_string(reason_codes, ',') AS reason_codes, 'v1' AS model_version
 FROM reasons""")
@@ -152,7 +152,7 @@ def q_flatten(spark, sf_dir):
 
 @register("alert_summary", ALERTS_WITH + """
 SELECT (SELECT count(*) FROM alerts) AS total_alerts, count(*) AS loaded_alerts,
-       count_if(analyst_outcome IS NOT NULL) AS reviewed,
+       CAST(count_if(analyst_outcome IS NOT NULL) AS BIGINT) AS reviewed,
        round(coalesce(count_if(analyst_outcome IS NOT NULL) / nullif(count(*), 0), 0.0), 6) AS review_rate,
        round(coalesce(avg(risk_score), 0.0), 6) AS average_risk, round(coalesce(median(risk_score), 0.0), 6) AS median_risk,
        max(created_at) AS latest_alert
@@ -282,7 +282,8 @@ def q_request_counts(spark, sf_dir):
 
 
 def _bucket_sql(col: str, src: str, bounds: list[float]) -> str:
-    parts = [f"SELECT {i} AS i, '{b!r}' AS le, count_if({col} <= {b!r}) AS count FROM {src}" for i, b in enumerate(bounds)]
+    parts = [f"SELECT {i} AS i, '{b!r}' AS le, CAST(count_if({col} <= {b!r}) AS BIGINT) AS count FROM {src}"
+             for i, b in enumerate(bounds)]
     parts.append(f"SELECT {len(bounds)} AS i, '+Inf' AS le, count({col}) AS count FROM {src}")
     return "SELECT le, count FROM (" + " UNION ALL ".join(parts) + ")"
 
