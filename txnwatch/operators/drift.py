@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnwatch.config import DEFAULT, Params
-from txnwatch.operators.ordinal import bucket_index, rank_quantiles
+from pyspark.ml.feature import Bucketizer
+
+from txnwatch.operators.ordinal import grouped_quantiles
 from txnwatch.schema import DRIFT_CATEGORICAL, DRIFT_NUMERIC
 
 SHARE_FLOOR = 1e-6
@@ -21,36 +25,57 @@ def _numeric(df: DataFrame, col: str) -> DataFrame:
 
 def psi_edges(reference: DataFrame, col: str, bins: int = 10) -> list[float]:
     """Unique reference quantile edges (bins + 1 linear quantiles)."""
-    ref = _numeric(reference, col)
-    n = ref.count()
-    if n == 0:
-        return []
-    return sorted(set(rank_quantiles(ref, "_v", n, bins + 1)))
+    return sorted(set(grouped_quantiles(reference, [col], bins + 1)[col]))
 
 
-def psi(reference: DataFrame, current: DataFrame, col: str, bins: int = 10) -> DataFrame:
-    """Population stability index of ``col`` (one row: psi).
+def psi_many(reference: DataFrame, current: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
+    """D1 for several columns at once: (feature, psi).
 
-    Reference quantile edges, outer edges infinite, bins [a, b); shares
-    floored at 1e-6; an empty side or fewer than three edges gives 0.0.
+    Reference quantile edges for every column come from one grouped rank
+    pass; one multi-column Bucketizer bins both windows; one histogram per
+    window keyed by (feature, bucket); a full outer join of the two.  Outer
+    edges are infinite, bins [a, b); shares floored at 1e-6; an empty side or
+    fewer than three unique edges gives 0.0.
     """
     spark = reference.sparkSession
-    edges = psi_edges(reference, col, bins)
-    cur = _numeric(current, col)
-    if len(edges) < 3 or cur.isEmpty():
-        return spark.createDataFrame([(0.0,)], "psi double")
-    inner = edges[1:-1]
+    quant = grouped_quantiles(reference, cols, bins + 1)
+    edges = {c: sorted(set(q)) for c, q in quant.items()}
+    usable = [c for c in cols if len(edges[c]) >= 3]
+    zero = spark.createDataFrame([(c, 0.0) for c in cols if c not in usable], "feature string, psi double")
+    if not usable:
+        return zero
+    buck = Bucketizer(splitsArray=[[-math.inf, *edges[c][1:-1], math.inf] for c in usable],
+                      inputCols=[f"_x{i}" for i in range(len(usable))],
+                      outputCols=[f"_b{i}" for i in range(len(usable))], handleInvalid="keep")
 
     def hist(df: DataFrame, name: str) -> DataFrame:
-        b = bucket_index("_v", inner, "_b").transform(df)
-        h = b.groupBy(F.col("_b").cast("int").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
-        total = h.select(F.sum("_n")).scalar()
-        return h.select("_b", (F.col("_n") / total).alias(name))
-
-    j = hist(_numeric(reference, col), "_r").join(hist(cur, "_c"), "_b", "full_outer")
+        vals = df.select(*[F.col(c).cast("string").try_cast("double").alias(f"_x{i}") for i, c in enumerate(usable)])
+        b = buck.transform(vals)
+        long = b.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("feature"), F.col(f"_b{i}").cast("int").alias("_b"),
+                     (F.col(f"_x{i}").isNotNull() & ~F.isnan(f"_x{i}")).alias("_ok"))
+            for i, c in enumerate(usable)])).alias("_y")).select("_y.*").where("_ok")
+        h = long.groupBy("feature", "_b").agg(F.count(F.lit(1)).alias("_n"))
+        # one row per (feature, bucket): a bounded table
+        from pyspark.sql import Window
+        tot = F.sum("_n").over(Window.partitionBy("feature"))
+        return h.select("feature", "_b", (F.col("_n") / tot).alias(name))
+
+    j = hist(reference, "_r").join(hist(current, "_c"), ["feature", "_b"], "full_outer")
     r = F.greatest(F.coalesce("_r", F.lit(0.0)), F.lit(SHARE_FLOOR))
     c = F.greatest(F.coalesce("_c", F.lit(0.0)), F.lit(SHARE_FLOOR))
-    return j.agg(F.coalesce(F.sum((c - r) * F.log(c / r)), F.lit(0.0)).alias("psi"))
+    got = j.groupBy("feature").agg(F.sum((c - r) * F.log(c / r)).alias("psi"),
+                                   F.count("_c").alias("_cur_bins"))
+    # an empty current window gives 0.0
+    got = got.select("feature", F.when(F.col("_cur_bins") > 0, F.col("psi")).otherwise(F.lit(0.0)).alias("psi"))
+    present = spark.createDataFrame([(c,) for c in usable], "feature string")
+    got = present.join(got, "feature", "left").select("feature", F.coalesce("psi", F.lit(0.0)).alias("psi"))
+    return got.unionByName(zero)
+
+
+def psi(reference: DataFrame, current: DataFrame, col: str, bins: int = 10) -> DataFrame:
+    """Population stability index of one column (one row: psi)."""
+    return psi_many(reference, current, [col], bins).select("psi")
 
 
 def _category(df: DataFrame, col: str) -> DataFrame:
@@ -78,8 +103,8 @@ def drift_values(reference: DataFrame, current: DataFrame, numeric: list[str] =
     cols = [*numeric, *categorical]
     reference = reference.select(*cols).checkpoint()
     current = current.select(*cols).checkpoint()
-    parts = [psi(reference, current, c).select(F.lit("psi").alias("kind"), F.lit(c).alias("feature"),
-                                                F.col("psi").alias("value")) for c in numeric]
+    parts = [psi_many(reference, current, numeric).select(F.lit("psi").alias("kind"), "feature",
+                                                          F.col("psi").alias("value"))]
     parts += [category_distance(reference, current, c).select(
         F.lit("total_variation").alias("kind"), F.lit(c).alias("feature"), F.col("distance").alias("value"))
         for c in categorical]

@@ -74,11 +74,7 @@ TV_SQL = " UNION ALL ".join(_tv_sql(c) for c in DRIFT_CATEGORICAL)
 def q_psi(spark, sf_dir):
     ref, cur = windows(spark, sf_dir)
     ref, cur = ref.select(*DRIFT_NUMERIC).checkpoint(), cur.select(*DRIFT_NUMERIC).checkpoint()
-    out = None
-    for c in DRIFT_NUMERIC:
-        p = dr.psi(ref, cur, c).select(F.lit(c).alias("feature"), r6("psi"))
-        out = p if out is None else out.unionByName(p)
-    return out
+    return dr.psi_many(ref, cur, DRIFT_NUMERIC).select("feature", r6("psi"))
 
 
 @register("category_distance", BASE + f"SELECT feature, round(distance, 6) AS distance FROM ({TV_SQL})")
