@@ -149,10 +149,11 @@ def history_counts(rows: DataFrame, chunk_seconds: int | None = None,
          .unionByName(pair_carry.repartition("from_account", CHUNK), allowMissingColumns=True)
          .unionByName(s_carry.repartition("from_account", CHUNK), allowMissingColumns=True))
     wp = Window.partitionBy("from_account", "to_account", CHUNK).orderBy(*_ORDER).rowsBetween(_UNB, -1)
-    u = u.withColumn("pair_prev_count", F.coalesce(F.sum("_pw").over(wp), F.lit(0)).cast("long"))
     is_real = F.col("_kind") == 1
-    u = u.withColumn("_first", F.when(is_real & (F.col("pair_prev_count") == 0), 1).otherwise(0))
-    u = u.withColumn("_sfp", F.when(is_real, F.col("_first").cast("long")).otherwise(F.col("_cfp")))
+    pair_prev = F.coalesce(F.sum("_pw").over(wp), F.lit(0)).cast("long")
+    first = F.when(is_real & (pair_prev == 0), 1).otherwise(0)
+    u = u.select("*", pair_prev.alias("pair_prev_count"), first.alias("_first"),
+                 F.when(is_real, first.cast("long")).otherwise(F.col("_cfp")).alias("_sfp"))
     ws = Window.partitionBy("from_account", CHUNK).orderBy(*_ORDER).rowsBetween(_UNB, -1)
     stage1 = u.select(
         *cols, CHUNK, "_kind", "pair_prev_count", "_first",
