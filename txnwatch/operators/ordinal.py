@@ -108,7 +108,6 @@ def grouped_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """Exact median (mean of the two middle values) of each column, all
     columns in one pass: (column, value) histogram -> prefix sums ordered by
     (column, value) -> the middle ranks per column.  Nulls are ignored."""
-    spark = df.sparkSession
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("_f"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_x")) \
         .select("_x._f", "_x._v").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
@@ -125,7 +124,6 @@ def grouped_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
         return {c: None for c in cols}
     h = prefix_sums(hist, ["_f", "_v"], ["_n"])
     got = {int(r["rank"]): float(r["value"]) for r in _pick_ranks(h, "_v", targets).collect()}
-    del spark
     out: dict[str, float | None] = {c: None for c in cols}
     for c, (a, b) in want.items():
         out[c] = got[a] if b is None else (got[a] + got[b]) / 2.0

@@ -21,7 +21,6 @@ def with_file_order(df: DataFrame) -> DataFrame:
     splits; inside a split rows keep read order.  Evaluate once and persist
     (ingest writes the table), since file listing decides the numbering.
     """
-    spark = df.sparkSession
     marked = df.select("*", F.col("_metadata.file_path").alias("_fp"),
                        F.col("_metadata.file_block_start").alias("_fb"),
                        F.monotonically_increasing_id().alias("_mid"))
@@ -30,7 +29,6 @@ def with_file_order(df: DataFrame) -> DataFrame:
     ordinals = splits.select("_fp", "_fb", F.expr("row_number() OVER (ORDER BY _fp, _fb) - 1").alias("_so"))
     joined = marked.join(F.broadcast(ordinals), ["_fp", "_fb"])
     seq = F.shiftleft(F.col("_so"), _ROW_BITS) + F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    del spark
     return joined.withColumn("seq", seq).drop("_fp", "_fb", "_mid", "_so")
 
 
