@@ -79,3 +79,20 @@ def test_stream_with_compaction_equals_batch(spark):
     got = sorted(map(tuple, spark.read.parquet(out + "/features").select("seq", *cols).collect()))
     batch = with_ordinal(history.causal_features(t), ["seq"], "_ri").select(F.col("_ri").alias("seq"), *cols)
     assert got == sorted(map(tuple, batch.collect()))
+
+
+@pytest.mark.parametrize("frac", [0.25, 0.75])
+def test_snapshot_on_next_row_equals_batch(spark, frac):
+    """T3 against the state of all earlier rows, applied to the next row,
+    equals the batch features of that row."""
+    t = with_ordinal(txn(spark, SF_SMALL), ["timestamp", "seq"], "_o").checkpoint()
+    k = int(t.count() * frac)
+    hist, nxt = t.where(F.col("_o") < k).drop("_o"), t.where(F.col("_o") == k).drop("_o")
+    snap = history.snapshot_features(nxt, state.account_state(hist), state.pair_state(hist))
+    full = history.causal_features(t.drop("_o")).join(nxt.select("seq"), "seq")
+    cols = ["seq", "sender_prev_tx_count", "receiver_prev_tx_count", "sender_prev_avg_amount",
+            "receiver_prev_avg_amount", "sender_minutes_since_last", "receiver_minutes_since_last",
+            "pair_prev_count", "sender_unique_counterparties", "receiver_unique_counterparties"]
+    got = [tuple(round(v, 8) if isinstance(v, float) else v for v in r) for r in snap.select(*cols).collect()]
+    want = [tuple(round(v, 8) if isinstance(v, float) else v for v in r) for r in full.select(*cols).collect()]
+    assert got == want and len(got) == 1
