@@ -88,13 +88,18 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: fl
     if n == 0:
         return nodes.withColumn("pagerank", F.lit(0.0))
     out_w = edges.groupBy("src").agg(F.sum("weight").alias("_ow"))
+    # about 2M edges per partition, at most the session's shuffle partitions
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(cap, -(-edges.count() // 2_000_000)))
     norm = (edges.join(out_w, "src").where(F.col("_ow") != 0)
             .select("src", "dst", (F.col("weight") / F.col("_ow")).alias("_nw"))
-            .repartition("src").checkpoint())
+            .repartition(parts, "src").checkpoint())
     dangling = nodes.join(out_w.where(F.col("_ow") != 0).select(F.col("src").alias("account")),
                           "account", "left_anti").select("account", F.lit(True).alias("_dangling"))
+    node_parts = max(1, min(cap, -(-n // 2_000_000)))
     base = nodes.join(dangling, "account", "left").select(
-        "account", F.coalesce("_dangling", F.lit(False)).alias("_dangling")).checkpoint()
+        "account", F.coalesce("_dangling", F.lit(False)).alias("_dangling")) \
+        .repartition(node_parts, "account").checkpoint()
     a, inv_n = float(alpha), 1.0 / n
     ranks = base.select("account", "_dangling", F.lit(inv_n).alias("pr"))
     dangle = base.where("_dangling").count() * inv_n
