@@ -121,3 +121,20 @@ def test_clean_removes_injected_faults(spark):
     assert r["rows"] == 151 and r["invalid_timestamps"] == 1 and r["negative_amounts"] == 1
     assert r["duplicate_rows"] >= 1
     assert cleaned.count() == 148
+
+
+def test_prefix_sums_across_many_partitions(spark):
+    from txnwatch.operators.ordinal import prefix_sums, values_at_ranks
+    data = [(i, (i * 37) % 11 - 3) for i in range(500)]
+    df = spark.createDataFrame(data, "k long, w long")
+    got = {r["k"]: r["w_before"] for r in prefix_sums(df, ["k"], ["w"], num_partitions=5).collect()}
+    run, want = 0, {}
+    for k, w in data:
+        want[k] = run
+        run += w
+    assert got == want
+    desc = {r["k"]: r["w_before"] for r in prefix_sums(df, ["k"], ["w"], descending=True, num_partitions=7).collect()}
+    assert desc[499] == 0 and desc[0] == sum(w for _, w in data[1:])
+    vals = spark.createDataFrame([(float(v),) for v in [5, 1, 3, 3, 9, 7, 3]], "v double")
+    ranks = {r["rank"]: r["value"] for r in values_at_ranks(vals, "v", [0, 2, 4, 6]).collect()}
+    assert ranks == {0: 1.0, 2: 3.0, 4: 5.0, 6: 9.0}
