@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from txnwatch.llm import minhash
+from txnwatch.llm import line_dedup, minhash, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,8 +17,74 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.with_kept_text(docs, min_chars=40, min_docs=5).select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
+        F.sha2(F.col("_kept_text"), 256).alias("kept_sha256"))
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixture(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3.0)
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_minhash_near_dedup,
+    op2_minhash_near_dedup, op6_line_dedup, op8_source_mixing,
 )}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), hot AS (
+  SELECT key, max(doc_id) AS keeper
+  FROM (SELECT DISTINCT key, doc_id FROM keyed WHERE length(key) >= 40)
+  GROUP BY key HAVING count(*) >= 5
+), marked AS (
+  SELECT k.*, h.keeper IS NOT NULL AND h.keeper IS DISTINCT FROM k.doc_id AS gone
+  FROM keyed k LEFT JOIN hot h USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
+    "op8_source_mixing": r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1]::DOUBLE AS w
+  FROM docs GROUP BY source
+), level AS (
+  SELECT *, ((sum(source_size) OVER ())::DOUBLE - (sum(3.0::DOUBLE * source_size) OVER o) + 3.0::DOUBLE * source_size)
+            / (sum(w) OVER (ORDER BY source_size / w, source NULLS LAST
+                            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS lvl
+  FROM sources
+  WINDOW o AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), targets AS (
+  SELECT source, source_size, least(3.0::DOUBLE * source_size, (SELECT max(lvl) FROM level) * w) AS target FROM level
+), rated AS (
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS whole,
+         (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5::DOUBLE) AS u
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), summed AS (
+  SELECT *, target - whole * source_size AS rest, sum(size) OVER (PARTITION BY source ORDER BY u, doc_id) AS upto
+  FROM rated
+), taken AS (
+  SELECT *, upto <= rest OR (upto - size < rest AND 2 * upto - size < 2 * rest) AS more FROM summed
+), last AS (
+  SELECT source, max(u) FILTER (WHERE more) AS cut FROM taken GROUP BY source
+)
+SELECT t.doc_id, t.size, t.source_size, t.target,
+       ((t.whole + CASE WHEN t.u <= l.cut THEN 1 ELSE 0 END) * t.size)::BIGINT AS taken
+FROM taken t JOIN last l ON t.source IS NOT DISTINCT FROM l.source""",
+}
