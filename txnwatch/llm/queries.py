@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import line_dedup, minhash, mixing
+from txnwatch.llm import fm_index, line_dedup, minhash, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,8 +29,14 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_index.contamination(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
+                                  window=10)
+
+
 QUERIES = {f.__name__: f for f in (
     op2_minhash_near_dedup, op6_line_dedup, op8_source_mixing,
+    op9_benchmark_decontamination,
 )}
 
 ORACLE: dict[str, str] = {
@@ -87,4 +93,34 @@ WITH RECURSIVE docs AS (
 SELECT t.doc_id, t.size, t.source_size, t.target,
        ((t.whole + CASE WHEN t.u <= l.cut THEN 1 ELSE 0 END) * t.size)::BIGINT AS taken
 FROM taken t JOIN last l ON t.source IS NOT DISTINCT FROM l.source""",
+    "op9_benchmark_decontamination": r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS k, array_to_string(ws[p:p + least(len(ws), 10) - 1], ' ') AS win
+  FROM iw, LATERAL (SELECT unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS p) WHERE len(ws) > 0
+), ks AS (
+  SELECT DISTINCT k FROM win
+), dw AS (
+  SELECT doc_id, k, p, array_to_string(ws[p:p + k - 1], ' ') AS win
+  FROM w, ks, LATERAL (SELECT unnest(range(1, len(ws) - k + 2)) AS p) WHERE len(ws) >= k
+), occ AS (
+  SELECT doc_id, p, k, item_id FROM dw JOIN win USING (k, win)
+), hit AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM occ, LATERAL (SELECT unnest(range(p, p + k)) AS q) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM occ) GROUP BY doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
 }
