@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import fm_index, line_dedup, minhash, mixing
+from txnwatch.llm import fm_index, license_automata, line_dedup, minhash, mixing, toxicity, url_templates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_automata.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.with_kept_text(docs, min_chars=40, min_docs=5).select(
@@ -24,6 +28,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("_kept_text"), 256).alias("kept_sha256"))
 
 
+def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge_urls(_table(spark, sf_dir, "pages"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixture(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3.0)
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -34,9 +42,17 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                                   window=10)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_minhash_near_dedup, op6_line_dedup, op8_source_mixing,
-    op9_benchmark_decontamination,
+    op2_minhash_near_dedup, op5_license_templates, op6_line_dedup, op7_url_templates, op8_source_mixing,
+    op9_benchmark_decontamination, op10_toxicity,
 )}
 
 ORACLE: dict[str, str] = {

@@ -136,3 +136,9 @@ def word_tables(batch: pa.RecordBatch, column: str, sep: np.ndarray, size: int =
                 ) -> Iterator[tuple[pa.RecordBatch, WordTable]]:
     for part, data, off in chunks(batch, column, size):
         yield part, WordTable(data, off, sep)
+
+
+def word_hashes(words: list[str]) -> np.ndarray:
+    """Hashes of single words, as a word table of texts would give them."""
+    data, off = buffers(pa.array(words, pa.string()))
+    return WordTable(data, off, PUNCT).hashes()
