@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import fm_index, license_automata, line_dedup, minhash, mixing, toxicity, url_templates
+from txnwatch.llm import fm_index, license_automata, line_dedup, minhash, mixing, pii, toxicity, url_templates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
     return out.select("doc_id", "n_shingles", "component_id", "kept")
@@ -51,7 +55,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_minhash_near_dedup, op5_license_templates, op6_line_dedup, op7_url_templates, op8_source_mixing,
+    op1_personal_data, op2_minhash_near_dedup, op5_license_templates, op6_line_dedup, op7_url_templates, op8_source_mixing,
     op9_benchmark_decontamination, op10_toxicity,
 )}
 
