@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import fm_index, license_automata, line_dedup, minhash, mixing, ngram_trie, pii, toxicity, url_templates
+from txnwatch.llm import fm_index, hnsw, license_automata, line_dedup, minhash, mixing, ngram_trie, pii, toxicity, url_templates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_hnsw_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op4_ngram_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_trie.language_scores(spark, _table(spark, sf_dir, "documents"))
 
@@ -59,8 +63,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_personal_data, op2_minhash_near_dedup, op4_ngram_trie_scores, op5_license_templates, op6_line_dedup,
-    op7_url_templates, op8_source_mixing, op9_benchmark_decontamination, op10_toxicity,
+    op1_personal_data, op2_minhash_near_dedup, op3_hnsw_near_dedup, op4_ngram_trie_scores,
+    op5_license_templates, op6_line_dedup, op7_url_templates, op8_source_mixing, op9_benchmark_decontamination, op10_toxicity,
 )}
 
 ORACLE: dict[str, str] = {
