@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnwatch.operators.contract import validate_feedback
-from txnwatch.schema import PAYLOAD_FIELDS
+from txnwatch.operators.ordinal import grouped_medians
+from txnwatch.schema import EXPORT_COLUMNS, PAYLOAD_FIELDS, SEARCH_COLUMNS
 
 REASONS_TYPE = T.ArrayType(T.StringType())
 PAYLOAD_TYPE = T.StructType([T.StructField(f, T.StringType()) for f in PAYLOAD_FIELDS])
@@ -52,13 +53,15 @@ def unmatched_feedback(table: DataFrame, feedback: DataFrame) -> DataFrame:
     return feedback.join(table.select("alert_id"), "alert_id", "left_anti")
 
 
-def _clamp(n: int, lo: int, hi: int) -> int:
-    return min(max(int(n), lo), hi)
+def _checked(limit: int, most: int) -> int:
+    if not 1 <= int(limit) <= most:
+        raise ValueError(f"limit must be between 1 and {most}: {limit}")
+    return int(limit)
 
 
 def recent_alerts(table: DataFrame, limit: int = 100) -> DataFrame:
-    """A4: newest alerts first (limit clamped to 1..500), 7 columns."""
-    n = _clamp(limit, 1, 500)
+    """A4: newest alerts first (1 to 500, anything else raises), 7 columns."""
+    n = _checked(limit, 500)
     return table.orderBy(F.col("created_at").desc(), "alert_id").limit(n).select(
         "alert_id", "transaction_id", "created_at", "risk_score", "decision", "reason_codes", "analyst_outcome")
 
@@ -71,21 +74,30 @@ def decode_json(table: DataFrame) -> DataFrame:
     return table.withColumn("reason_codes", reasons).withColumn("payload", payload)
 
 
-def load_alerts(table: DataFrame, limit: int = 5000) -> tuple[DataFrame, DataFrame]:
-    """A5: (newest alerts with types coerced and ``reviewed``, lifetime count).
-    The limit is clamped to 1..50,000; the count is a one-row frame."""
-    n = _clamp(limit, 1, 50_000)
-    total = table.agg(F.count(F.lit(1)).alias("total_alerts"))
-    recent = table.orderBy(F.col("created_at").desc(), "alert_id").limit(n)
-    typed = decode_json(recent).select(
-        *[c for c in recent.columns if c not in ("created_at", "risk_score", "threshold", "reason_codes", "payload")],
+def typed_alerts(table: DataFrame) -> DataFrame:
+    """The whole alert table with JSON decoded, types coerced and ``reviewed``;
+    the input of A7-A19."""
+    return decode_json(table).select(
+        *[c for c in table.columns if c not in ("created_at", "risk_score", "threshold", "reason_codes", "payload")],
         F.col("created_at").cast("string").try_cast("timestamp").alias("created_at"),
         F.col("risk_score").cast("string").try_cast("double").alias("risk_score"),
         F.col("threshold").cast("string").try_cast("double").alias("threshold"),
         "reason_codes", "payload",
         F.col("analyst_outcome").isNotNull().alias("reviewed"),
     )
-    return typed, total
+
+
+def alert_total(table: DataFrame) -> DataFrame:
+    """Lifetime number of alerts as a one-row frame."""
+    return table.agg(F.count(F.lit(1)).alias("total_alerts"))
+
+
+def load_alerts(table: DataFrame, limit: int = 5000) -> tuple[DataFrame, DataFrame]:
+    """A5: (newest ``limit`` alerts, typed, lifetime count): a page of the table for
+    display, 1 to 50,000 rows (anything else raises)."""
+    n = _checked(limit, 50_000)
+    recent = table.orderBy(F.col("created_at").desc(), "alert_id").limit(n)
+    return typed_alerts(recent), alert_total(table)
 
 
 def flatten_alerts(loaded: DataFrame) -> DataFrame:
@@ -98,13 +110,13 @@ def flatten_alerts(loaded: DataFrame) -> DataFrame:
 
 
 def alert_summary(loaded: DataFrame, total: DataFrame) -> DataFrame:
-    """Headline numbers; zeros when nothing is loaded.  The median is
-    exact over the loaded alerts (at most 50,000 rows by A5's clamp)."""
+    """Headline numbers; zeros when nothing is loaded.  The median is exact, from
+    the two middle ranks of the score histogram, so no task holds all scores."""
+    median = grouped_medians(loaded.select("risk_score"), ["risk_score"])["risk_score"]
     agg = loaded.agg(
         F.count(F.lit(1)).alias("loaded_alerts"),
         F.count_if("reviewed").alias("reviewed"),
         F.avg("risk_score").alias("_avg"),
-        F.median("risk_score").alias("_med"),
         F.max("created_at").alias("latest_alert"),
     )
     return agg.select(
@@ -112,7 +124,7 @@ def alert_summary(loaded: DataFrame, total: DataFrame) -> DataFrame:
         "loaded_alerts", "reviewed",
         F.coalesce(F.col("reviewed") / F.nullif(F.col("loaded_alerts"), F.lit(0)), F.lit(0.0)).alias("review_rate"),
         F.coalesce("_avg", F.lit(0.0)).alias("average_risk"),
-        F.coalesce("_med", F.lit(0.0)).alias("median_risk"),
+        F.lit(median if median is not None else 0.0).alias("median_risk"),
         "latest_alert",
     )
 
@@ -171,9 +183,6 @@ def alert_explorer(flat: DataFrame, min_risk: float = 0.0, outcome: str = "All",
     return out
 
 
-SEARCH_COLUMNS = ["transaction_id", "from_account", "to_account", "alert_id"]
-
-
 def alert_search(flat: DataFrame, search: str) -> DataFrame:
     """Case-insensitive literal substring in any of four id columns."""
     if not search:
@@ -192,10 +201,6 @@ def explorer_options(flat: DataFrame) -> DataFrame:
     return o.union(b).where(F.col("value").isNotNull()).distinct().orderBy("option", "value")
 
 
-EXPORT_COLUMNS = ["created_at", "alert_id", "transaction_id", "risk_score", "threshold", "amount_paid",
-                  "payment_currency", "payment_format", "from_bank", "to_bank", "reason_text", "analyst_outcome"]
-
-
 def export_alerts(flat: DataFrame, path: str) -> str:
     """The 12 display columns as CSV."""
     flat.select(*EXPORT_COLUMNS).write.mode("overwrite").option("header", True).csv(path)

@@ -13,7 +13,7 @@ from txnwatch.operators.contract import validate_requests
 from txnwatch.plans.catalog_features import scored_features
 from txnwatch.plans.fixtures import RISK_SCORE_SQL, duckdb_with, fixture
 from txnwatch.plans.registry import r6, register
-from txnwatch.schema import REQUEST_FIELDS, RISK_SCORE_BUCKETS
+from txnwatch.schema import EXPORT_COLUMNS, REQUEST_FIELDS, RISK_SCORE_BUCKETS
 from txnwatch.sources import files
 
 THRESHOLD = 0.65
@@ -74,8 +74,12 @@ def loaded(spark, sf_dir, limit: int = 5000) -> tuple[DataFrame, DataFrame]:
     return al.load_alerts(table(spark, sf_dir), limit)
 
 
+def typed(spark, sf_dir) -> DataFrame:
+    return al.typed_alerts(table(spark, sf_dir))
+
+
 def flat(spark, sf_dir) -> DataFrame:
-    return al.flatten_alerts(loaded(spark, sf_dir)[0])
+    return al.flatten_alerts(typed(spark, sf_dir))
 
 
 @register("append_alerts", duckdb_with("alerts") + f""", ts AS (SELECT *, {RISK_SCORE_SQL} AS risk_score FROM txn),
@@ -156,10 +160,9 @@ SELECT (SELECT count(*) FROM alerts) AS total_alerts, count(*) AS loaded_alerts,
        round(coalesce(count_if(analyst_outcome IS NOT NULL) / nullif(count(*), 0), 0.0), 6) AS review_rate,
        round(coalesce(avg(risk_score), 0.0), 6) AS average_risk, round(coalesce(median(risk_score), 0.0), 6) AS median_risk,
        max(created_at) AS latest_alert
-FROM (SELECT * FROM alerts ORDER BY created_at DESC, alert_id LIMIT 5000)""")
+FROM alerts""")
 def q_summary(spark, sf_dir):
-    lo, total = loaded(spark, sf_dir)
-    s = al.alert_summary(lo, total)
+    s = al.alert_summary(typed(spark, sf_dir), al.alert_total(table(spark, sf_dir)))
     return s.select("total_alerts", "loaded_alerts", "reviewed", r6("review_rate"), r6("average_risk"),
                     r6("median_risk"), "latest_alert")
 
@@ -170,33 +173,33 @@ REASONS_TABLE = "(SELECT unnest(coalesce(from_json(reason_codes, '[\"VARCHAR\"]'
 @register("reason_counts", ALERTS_WITH + f"""
 SELECT reason_code, count(*) AS count FROM {REASONS_TABLE} WHERE reason_code IS NOT NULL GROUP BY 1""")
 def q_reason_counts(spark, sf_dir):
-    return al.reason_counts(loaded(spark, sf_dir)[0])
+    return al.reason_counts(typed(spark, sf_dir))
 
 
 @register("top_reasons", ALERTS_WITH + f"""
 SELECT reason_code, count(*) AS count FROM {REASONS_TABLE} WHERE reason_code IS NOT NULL GROUP BY 1
 ORDER BY count DESC, reason_code LIMIT 12""")
 def q_top_reasons(spark, sf_dir):
-    return al.top_reasons(loaded(spark, sf_dir)[0])
+    return al.top_reasons(typed(spark, sf_dir))
 
 
 @register("daily_alert_volume", ALERTS_WITH + """
 SELECT date_trunc('day', created_at) AS day, count(*) AS alerts FROM alerts WHERE created_at IS NOT NULL GROUP BY 1""")
 def q_daily(spark, sf_dir):
-    return al.daily_alert_volume(loaded(spark, sf_dir)[0])
+    return al.daily_alert_volume(typed(spark, sf_dir))
 
 
 @register("risk_histogram", ALERTS_WITH + """
 SELECT bin, bin / 20.0 AS lower, (bin + 1) / 20.0 AS upper, count(*) AS alerts
 FROM (SELECT CAST(least(floor(risk_score * 20), 19) AS INTEGER) AS bin FROM alerts WHERE risk_score IS NOT NULL) GROUP BY bin""")
 def q_hist(spark, sf_dir):
-    return al.risk_histogram(loaded(spark, sf_dir)[0])
+    return al.risk_histogram(typed(spark, sf_dir))
 
 
 @register("outcome_counts", ALERTS_WITH + """
 SELECT coalesce(analyst_outcome, 'unreviewed') AS outcome, count(*) AS count FROM alerts GROUP BY 1""")
 def q_outcomes(spark, sf_dir):
-    return al.outcome_counts(loaded(spark, sf_dir)[0])
+    return al.outcome_counts(typed(spark, sf_dir))
 
 
 @register("risk_by_payment_format", ALERTS_WITH + """
@@ -245,7 +248,7 @@ def q_export(spark, sf_dir):
     f = flat(spark, sf_dir)
     path = files.scratch_path(spark, "alerts-export")
     al.export_alerts(f, path)
-    schema = f.select(*al.EXPORT_COLUMNS).schema
+    schema = f.select(*EXPORT_COLUMNS).schema
     back = spark.read.option("header", True).schema(schema).csv(path)
     return back.withColumn("risk_score", r6("risk_score"))
 

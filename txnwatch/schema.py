@@ -178,3 +178,9 @@ REQUEST_SCHEMA = T.StructType([
     T.StructField("payment_currency", T.StringType()),
     T.StructField("payment_format", T.StringType()),
 ])
+
+# Columns of the alert search and the alert export.
+SEARCH_COLUMNS = ["transaction_id", "from_account", "to_account", "alert_id"]
+
+EXPORT_COLUMNS = ["created_at", "alert_id", "transaction_id", "risk_score", "threshold", "amount_paid",
+                  "payment_currency", "payment_format", "from_bank", "to_bank", "reason_text", "analyst_outcome"]
