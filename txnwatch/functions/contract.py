@@ -48,6 +48,12 @@ def _len_between(name: str, lo: int, hi: int) -> tuple[Column, str]:
     return (F.col(name).isNull() | (n < lo) | (n > hi), f"{name}:length_{lo}_{hi}")
 
 
+def _not_amount(name: str) -> Column:
+    """Missing, not a number, or negative."""
+    c = F.col(name)
+    return c.isNull() | F.isnan(c.cast("double")) | (c < 0)
+
+
 def request_errors(ts_col: str = "timestamp") -> Column:
     """Names of the broken request rules, empty array when valid."""
     rules = [
@@ -57,9 +63,9 @@ def request_errors(ts_col: str = "timestamp") -> Column:
         _len_between("from_account", 1, 128),
         _len_between("to_bank", 1, 64),
         _len_between("to_account", 1, 128),
-        (F.col("amount_received").isNull() | (F.col("amount_received") < 0), "amount_received:ge_0"),
+        (_not_amount("amount_received"), "amount_received:ge_0"),
         _len_between("receiving_currency", 3, 64),
-        (F.col("amount_paid").isNull() | (F.col("amount_paid") < 0), "amount_paid:ge_0"),
+        (_not_amount("amount_paid"), "amount_paid:ge_0"),
         _len_between("payment_currency", 3, 64),
         _len_between("payment_format", 1, 64),
     ]

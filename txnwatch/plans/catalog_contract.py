@@ -145,9 +145,9 @@ REQUEST_ERRORS_SQL = "list_filter([" + ", ".join([
     "CASE WHEN TRY_CAST(timestamp AS TIMESTAMP) IS NULL THEN 'timestamp:invalid' END",
     _rule("from_bank", 1, 64), _rule("from_account", 1, 128),
     _rule("to_bank", 1, 64), _rule("to_account", 1, 128),
-    "CASE WHEN amount_received IS NULL OR amount_received < 0 THEN 'amount_received:ge_0' END",
+    "CASE WHEN amount_received IS NULL OR isnan(amount_received) OR amount_received < 0 THEN 'amount_received:ge_0' END",
     _rule("receiving_currency", 3, 64),
-    "CASE WHEN amount_paid IS NULL OR amount_paid < 0 THEN 'amount_paid:ge_0' END",
+    "CASE WHEN amount_paid IS NULL OR isnan(amount_paid) OR amount_paid < 0 THEN 'amount_paid:ge_0' END",
     _rule("payment_currency", 3, 64), _rule("payment_format", 1, 64),
 ]) + "], lambda x: x IS NOT NULL)"
 

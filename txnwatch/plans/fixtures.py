@@ -117,7 +117,7 @@ SELECT seq,
        CASE WHEN seq % 227 = 3 THEN '' ELSE to_account END AS to_account,
        amount_received,
        CASE WHEN seq % 229 = 4 THEN 'US' WHEN seq % 5 = 0 THEN lower(receiving_currency) ELSE receiving_currency END AS receiving_currency,
-       CASE WHEN seq % 233 = 5 THEN CAST(-1 AS DOUBLE) ELSE amount_paid END AS amount_paid,
+       CASE WHEN seq % 233 = 5 THEN CAST(-1 AS DOUBLE) WHEN seq % 251 = 8 THEN CAST('NaN' AS DOUBLE) ELSE amount_paid END AS amount_paid,
        CASE WHEN seq % 5 = 1 THEN lower(payment_currency) ELSE payment_currency END AS payment_currency,
        CASE WHEN seq % 241 = 7 THEN '' ELSE payment_format END AS payment_format
 FROM {txn}
