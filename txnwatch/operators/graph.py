@@ -69,14 +69,17 @@ def node_measures(edges: DataFrame) -> DataFrame:
 
 
 def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: float = 1.0e-6,
-             fail_if_not_converged: bool = True, checkpoint_every: int = 5) -> DataFrame:
+             fail_if_not_converged: bool = True, checkpoint_every: int = 5,
+             edges_per_salt: int = 1_000_000) -> DataFrame:
     """Weighted PageRank over (src, dst, weight).
 
     Uniform start and restart, dangling mass (out-weight 0) spread uniformly,
     stop when the L1 change is below ``N * tol``.  Returns (account, pagerank).
 
     One step is a join of the normalised edges (partitioned by ``src`` once)
-    with the ranks and an aggregation by ``dst``.  Ranks are persisted between
+    with the ranks and an aggregation by ``dst``.  A source with more than
+    ``edges_per_salt`` edges is dealt over several salts by ``dst`` and its rank is
+    repeated for each, so a hub's edges are spread over tasks.  Ranks are persisted between
     steps, and every ``checkpoint_every`` steps written as a reliable
     checkpoint (shared checkpoint folder) to cut lineage.  One small action
     per step returns both the L1 change and the next dangling mass.
@@ -87,28 +90,32 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: fl
     n = nodes.count()
     if n == 0:
         return nodes.withColumn("pagerank", F.lit(0.0))
-    out_w = edges.groupBy("src").agg(F.sum("weight").alias("_ow"))
-    # about 2M edges per partition, at most the session's shuffle partitions
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(cap, -(-edges.count() // 2_000_000)))
+    out_w = edges.groupBy("src").agg(
+        F.sum("weight").alias("_ow"),
+        F.ceil(F.count(F.lit(1)) / F.lit(edges_per_salt)).cast("int").alias("_salts")).checkpoint()
+    # one partition count for edges and ranks, about 2M edges each
+    parts = max(1, -(-edges.count() // 2_000_000))
     norm = (edges.join(out_w, "src").where(F.col("_ow") != 0)
-            .select("src", "dst", (F.col("weight") / F.col("_ow")).alias("_nw"))
-            .repartition(parts, "src").checkpoint())
+            .select("src", F.pmod(F.xxhash64("dst"), F.col("_salts")).cast("int").alias("_salt"), "dst",
+                    (F.col("weight") / F.col("_ow")).alias("_nw"))
+            .repartition(parts, "src", "_salt").checkpoint())
     dangling = nodes.join(out_w.where(F.col("_ow") != 0).select(F.col("src").alias("account")),
                           "account", "left_anti").select("account", F.lit(True).alias("_dangling"))
-    node_parts = max(1, min(cap, -(-n // 2_000_000)))
-    base = nodes.join(dangling, "account", "left").select(
-        "account", F.coalesce("_dangling", F.lit(False)).alias("_dangling")) \
-        .repartition(node_parts, "account").checkpoint()
+    base = nodes.join(dangling, "account", "left").join(
+        out_w.select(F.col("src").alias("account"), "_salts"), "account", "left").select(
+        "account", F.coalesce("_dangling", F.lit(False)).alias("_dangling"), F.coalesce("_salts", F.lit(1)).alias("_salts")) \
+        .repartition(parts, "account").checkpoint()
     a, inv_n = float(alpha), 1.0 / n
-    ranks = base.select("account", "_dangling", F.lit(inv_n).alias("pr"))
+    ranks = base.select("account", "_dangling", "_salts", F.lit(inv_n).alias("pr"))
     dangle = base.where("_dangling").count() * inv_n
     held = None
     for it in range(1, max_iter + 1):
-        contrib = (norm.join(ranks.select(F.col("account").alias("src"), "pr"), "src")
+        sent = ranks.select(F.col("account").alias("src"), "pr",
+                            F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))
+        contrib = (norm.join(sent, ["src", "_salt"])
                    .groupBy(F.col("dst").alias("account")).agg(F.sum(F.col("pr") * F.col("_nw")).alias("_c")))
         new = (ranks.join(contrib, "account", "left")
-               .select("account", "_dangling",
+               .select("account", "_dangling", "_salts",
                        (F.lit(a) * (F.coalesce("_c", F.lit(0.0)) + F.lit(dangle * inv_n)) + F.lit((1 - a) * inv_n)).alias("pr"),
                        F.col("pr").alias("_old")))
         new = new.checkpoint() if it % max(1, checkpoint_every) == 0 else new.persist()
