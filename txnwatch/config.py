@@ -26,9 +26,9 @@ class Params:
     update_state: bool = True
     psi_warning: float = 0.10
     psi_critical: float = 0.25
-    # Width of the time chunks that split one account's history across tasks
-    # (see operators/history.py); None sizes it from the data.
-    history_chunk_seconds: int | None = None
+    # Rows of the time chunks that split an account's history across tasks
+    # (see operators/history.py).
+    history_rows_per_chunk: int = 5_000_000
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -5,8 +5,8 @@ or (sender, receiver) pair that come strictly earlier in ``(timestamp, seq)``
 order.  A plain ``Window.partitionBy(account)`` would put all rows of a hot
 account into one task, so the history is computed as a two-level prefix sum:
 
-1. Rows are cut into time chunks (``floor(epoch_seconds / width)``; the
-   width is sized from the data so a hot account's chunk stays bounded).  Partial
+1. Rows are cut into time chunks of about equal row counts (quantiles of the
+   timestamp), so a hot account's part of a chunk is bounded.  Partial
    aggregation gives one small row per (key, chunk); a window over that small
    table gives the totals of all *earlier* chunks (plus a state snapshot, if
    one is given).  These totals become "carry" rows.
@@ -17,7 +17,8 @@ account into one task, so the history is computed as a two-level prefix sum:
 A hot account is thus split over as many tasks as it has chunks.  The sender
 and pair windows share one exchange (hash on (from_account, chunk) clusters
 (from_account, to_account, chunk) as well); the receiver windows take a
-second.  Carry tables are at most one row per active (key, chunk).
+second.  Carry tables have a row per (key, chunk) with earlier history; rows that
+would carry nothing are left out, and with a single chunk there are none.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnwatch.functions import features as fx
+from txnwatch.operators.ordinal import bucket_index
 from txnwatch.schema import MODEL_FEATURES
 
 CHUNK = "_chunk"
@@ -33,30 +35,35 @@ _ORDER = ["_kind", "timestamp", "seq"]
 _UNB = Window.unboundedPreceding
 
 
-MIN_CHUNK_SECONDS = 60
-MAX_CHUNK_SECONDS = 7 * 86400
+ROWS_PER_CHUNK = 5_000_000
 
 
-def auto_chunk_seconds(rows: DataFrame, max_rows_per_chunk: int = 5_000_000, hot_fraction: float = 1 / 3) -> int:
-    """Chunk width that bounds the rows of one account in one chunk.
+def chunk_bounds(rows: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> list[int]:
+    """Times (microseconds) that cut the rows into chunks of about equal size.
 
-    Assumes a hot account may hold ``hot_fraction`` of all rows spread over
-    the time span; chooses the widest chunk keeping such an account below
-    ``max_rows_per_chunk`` rows per chunk (1 minute .. 7 days).  One small
-    aggregate (count, min, max) over the timestamp column.
+    Bounds are quantiles of the timestamp, so a stray early row or a burst does not
+    change how many rows fall into a chunk; as a chunk has about
+    ``rows_per_chunk`` rows of all accounts, no account has more in it.  (Rows of one
+    microsecond are never cut.)  One aggregate over the timestamp column; no bounds
+    when one chunk is enough.
     """
-    st = rows.agg(F.count(F.lit(1)).alias("n"), F.min(F.unix_seconds("timestamp")).alias("lo"),
-                  F.max(F.unix_seconds("timestamp")).alias("hi")).first()
-    n = int(st["n"] or 0)
-    if n == 0 or st["lo"] is None:
-        return MAX_CHUNK_SECONDS
-    span = max(1, int(st["hi"]) - int(st["lo"]))
-    width = int(max_rows_per_chunk * span / (hot_fraction * n))
-    return max(MIN_CHUNK_SECONDS, min(MAX_CHUNK_SECONDS, width))
+    t = F.unix_micros("timestamp")
+    n = rows.select(t.alias("t")).agg(F.count("t")).first()[0]
+    k = -(-n // rows_per_chunk)
+    if k <= 1:
+        return []
+    steps = [i / k for i in range(1, k)]
+    cuts = rows.agg(F.percentile_approx(t, steps, max(10_000, 4 * k)).alias("q")).first()["q"]
+    return sorted(set(cuts))
 
 
-def with_chunk(df: DataFrame, width_seconds: int) -> DataFrame:
-    return df.withColumn(CHUNK, F.floor(F.unix_seconds(F.col("timestamp")) / F.lit(int(width_seconds))))
+def with_chunk(df: DataFrame, bounds: list[int]) -> DataFrame:
+    """Adds the chunk number: how many bounds lie at or before the row's time."""
+    if not bounds:
+        return df.withColumn(CHUNK, F.lit(0).cast("long"))
+    timed = df.withColumn("_time", F.unix_micros("timestamp").cast("double"))
+    out = bucket_index("_time", [float(b) for b in bounds], CHUNK).setHandleInvalid("keep").transform(timed)
+    return out.withColumn(CHUNK, F.col(CHUNK).cast("long")).drop("_time")
 
 
 def _pair_chunks(r: DataFrame, pair_state: DataFrame | None) -> DataFrame:
@@ -114,7 +121,7 @@ def _side_carry(pc: DataFrame, key: str, state: DataFrame | None, side: str) ->
     return c
 
 
-def history_counts(rows: DataFrame, chunk_seconds: int | None = None,
+def history_counts(rows: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK,
                    account_state: DataFrame | None = None,
                    pair_state: DataFrame | None = None) -> DataFrame:
     """Append raw prior aggregates to ``rows``.
@@ -126,8 +133,9 @@ def history_counts(rows: DataFrame, chunk_seconds: int | None = None,
     (T4) the prior values start from the state instead of zero.
     """
     cols = rows.columns
-    width = chunk_seconds or auto_chunk_seconds(rows)
-    r = with_chunk(rows, width)
+    bounds = chunk_bounds(rows, rows_per_chunk)
+    r = with_chunk(rows, bounds)
+    carried = bool(bounds) or account_state is not None or pair_state is not None
     pc = _pair_chunks(r, pair_state)
 
     # Stage 1: pair + sender, one exchange on (from_account, chunk).
@@ -141,13 +149,14 @@ def history_counts(rows: DataFrame, chunk_seconds: int | None = None,
         F.lit(None).cast("long").alias("_cfp"),
     )
     pair_carry = pc.select("from_account", "to_account", CHUNK, F.lit(0).alias("_kind"),
-                           F.col("_prior").alias("_pw"))
+                           F.col("_prior").alias("_pw")).where("_pw > 0")
     s_carry = _side_carry(pc, "from_account", account_state, "sent").select(
         "from_account", CHUNK, F.lit(0).alias("_kind"), F.col("_cn").alias("_sn"),
-        F.col("_cs").alias("_ss"), F.col("_clt").alias("_sts"), F.col("_cfp"))
-    u = (real.repartition("from_account", CHUNK)
-         .unionByName(pair_carry.repartition("from_account", CHUNK), allowMissingColumns=True)
-         .unionByName(s_carry.repartition("from_account", CHUNK), allowMissingColumns=True))
+        F.col("_cs").alias("_ss"), F.col("_clt").alias("_sts"), F.col("_cfp")).where("_sn > 0")
+    u = real.repartition("from_account", CHUNK)
+    if carried:
+        u = (u.unionByName(pair_carry.repartition("from_account", CHUNK), allowMissingColumns=True)
+             .unionByName(s_carry.repartition("from_account", CHUNK), allowMissingColumns=True))
     wp = Window.partitionBy("from_account", "to_account", CHUNK).orderBy(*_ORDER).rowsBetween(_UNB, -1)
     is_real = F.col("_kind") == 1
     pair_prev = F.coalesce(F.sum("_pw").over(wp), F.lit(0)).cast("long")
@@ -173,9 +182,10 @@ def history_counts(rows: DataFrame, chunk_seconds: int | None = None,
     )
     r_carry = _side_carry(pc, "to_account", account_state, "received").select(
         "to_account", CHUNK, F.lit(0).alias("_kind"), F.col("_cn").alias("_rn"),
-        F.col("_cs").alias("_rs"), F.col("_clt").alias("_rts"), F.col("_cfp").alias("_rfp"))
-    u2 = (real2.repartition("to_account", CHUNK)
-          .unionByName(r_carry.repartition("to_account", CHUNK), allowMissingColumns=True))
+        F.col("_cs").alias("_rs"), F.col("_clt").alias("_rts"), F.col("_cfp").alias("_rfp")).where("_rn > 0")
+    u2 = real2.repartition("to_account", CHUNK)
+    if carried:
+        u2 = u2.unionByName(r_carry.repartition("to_account", CHUNK), allowMissingColumns=True)
     wr = Window.partitionBy("to_account", CHUNK).orderBy(*_ORDER).rowsBetween(_UNB, -1)
     return u2.select(
         *cols, "pair_prev_count", "_first", "_s_cnt", "_s_sum", "_s_uniq", "_s_prev_ts",
@@ -216,16 +226,16 @@ def finish_features(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return df.select(*keep, *[feats[name].alias(name) for name in MODEL_FEATURES])
 
 
-def causal_features(txn: DataFrame, chunk_seconds: int | None = None) -> DataFrame:
+def causal_features(txn: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """The transaction table plus its 22 numeric + 3 categorical model features."""
-    return finish_features(history_counts(txn, chunk_seconds), keep=txn.columns)
+    return finish_features(history_counts(txn, rows_per_chunk), keep=txn.columns)
 
 
 def live_features(batch: DataFrame, account_state: DataFrame, pair_state: DataFrame,
-                  chunk_seconds: int | None = None) -> DataFrame:
+                  rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """T4: each transaction sees the state snapshot plus every earlier row of
     the same batch (state updated row by row in (timestamp, seq) order)."""
-    h = history_counts(batch, chunk_seconds, account_state=account_state, pair_state=pair_state)
+    h = history_counts(batch, rows_per_chunk, account_state=account_state, pair_state=pair_state)
     return finish_features(h, keep=batch.columns)
 
 

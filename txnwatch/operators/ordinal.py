@@ -29,9 +29,7 @@ def prefix_sums(df: DataFrame, order_cols: list[str], sum_cols: list[str], desce
     if num_partitions:
         n = num_partitions
     else:
-        # about 2M rows per range partition, at most the shuffle partitions
-        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        n = max(1, min(cap, -(-df.count() // 2_000_000)))
+        n = max(1, -(-df.count() // 2_000_000))  # about 2M rows per range partition
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
     s = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     loc_fields = [T.StructField(f"_loc_{c}", df.schema[c].dataType) for c in sum_cols]

@@ -20,8 +20,8 @@ CUT = "2024-01-16 00:00:00"
 def windows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     t = txn(spark, sf_dir)
     cut = F.lit(CUT).cast("timestamp")
-    ref = causal_features(t.where(F.col("timestamp") < cut), DEFAULT.history_chunk_seconds)
-    cur = causal_features(t.where(F.col("timestamp") >= cut), DEFAULT.history_chunk_seconds)
+    ref = causal_features(t.where(F.col("timestamp") < cut), DEFAULT.history_rows_per_chunk)
+    cur = causal_features(t.where(F.col("timestamp") >= cut), DEFAULT.history_rows_per_chunk)
     return ref, cur
 
 

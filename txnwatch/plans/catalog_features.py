@@ -71,7 +71,7 @@ ALL_FEATURES = {"amount_paid": True, "amount_received": True, **ROW_FEATURES, **
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return causal_features(txn(spark, sf_dir), DEFAULT.history_chunk_seconds)
+    return causal_features(txn(spark, sf_dir), DEFAULT.history_rows_per_chunk)
 
 
 def feature_sql(names: dict[str, bool]) -> str:

@@ -77,7 +77,7 @@ HIST_COLS = ", ".join(f"round({n}, 6) AS {n}" if d else n for n, d in HISTORY_FE
 def q_live(spark, sf_dir):
     hist, batch = split(spark, sf_dir)
     f = history.live_features(batch, state.account_state(hist), state.pair_state(hist),
-                              DEFAULT.history_chunk_seconds)
+                              DEFAULT.history_rows_per_chunk)
     return _feature_cols(f)
 
 
