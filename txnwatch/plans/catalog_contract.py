@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnwatch.operators import contract as ct
+from txnwatch.operators.ordinal import with_ordinal
 from txnwatch.plans.fixtures import duckdb_with, fixture
 from txnwatch.plans.registry import r6, register
 from txnwatch.schema import CANONICAL_COLUMNS, TXN_SCHEMA
@@ -181,20 +182,32 @@ def q_validate_feedback(spark, sf_dir):
 
 # ---- sources and sinks: write with the sink, read back with the source ----
 
-RAW_NOSEQ_SQL = duckdb_with("raw_txn") + "SELECT " + ", ".join(
-    f"{v} AS {k}" for k, v in RAW_COLS.items()) + " FROM raw_txn"
+IN_FILE_ORDER = "SELECT row_number() OVER (ORDER BY seq) - 1 AS position, * EXCLUDE (seq) FROM "
 
 
-@register("scan_csv", RAW_NOSEQ_SQL)
+def _in_parts(df: DataFrame) -> DataFrame:
+    """The rows in several files whose names have the order of seq."""
+    return df.repartitionByRange(5, "seq").sortWithinPartitions("seq").drop("seq")
+
+
+def _positions(df: DataFrame) -> DataFrame:
+    """File order as numbers from 0 in place of seq."""
+    cols = [c for c in df.columns if c != "seq"]
+    return with_ordinal(df, ["seq"], "position").select("position", *cols)
+
+
+@register("scan_csv", duckdb_with("raw_txn") + IN_FILE_ORDER + "(" + NORMALIZED_SQL + ")")
 def q_scan_csv(spark, sf_dir):
     path = files.scratch_path(spark, "raw-csv")
-    files.sink_csv(raw(spark, sf_dir).drop("seq"), path)
-    return ct.normalize_columns(files.scan_csv(spark, path)).drop("seq")
+    files.sink_csv(_in_parts(raw(spark, sf_dir)), path)
+    return _positions(ct.normalize_columns(files.scan_csv(spark, path)))
 
 
-@register("scan_parquet", "SELECT * FROM events")
+@register("scan_parquet", duckdb_with("txn") + IN_FILE_ORDER + "txn")
 def q_scan_parquet(spark, sf_dir):
-    return files.scan_parquet(spark, f"{sf_dir}/events.parquet")
+    path = files.scratch_path(spark, "txn-parts")
+    files.sink_parquet(_in_parts(fixture(spark, sf_dir, "txn")), path, partition_by=None)
+    return _positions(files.scan_parquet(spark, path))
 
 
 @register("limit_rows", duckdb_with("txn") + "SELECT * FROM txn ORDER BY seq LIMIT 500")

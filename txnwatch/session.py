@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, scratch: str | None = None,
+def local_session(scratch: str, cores: int | str = "*", shuffle_partitions: int = 8,
                   driver_memory: str = "8g") -> SparkSession:
     """A local session configured like the cluster job (UTC, AQE, no UI).
 
-    On a cluster the checkpoint folder comes from ``spark.checkpoint.dir``; only
-    when it is unset (local tests) a scratch folder is created for it.
+    ``scratch`` is the checkpoint folder; on a cluster it comes from
+    ``spark.checkpoint.dir`` instead.
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -28,9 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, scratch:
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        scratch = scratch or tempfile.mkdtemp(prefix="txnwatch-ck-", dir="/tmp")
-        builder = builder.config("spark.checkpoint.dir", scratch)
+    builder = builder.config("spark.checkpoint.dir", scratch)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -40,8 +35,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, scratch:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by the session.
 
-    Reads ``spark.checkpoint.dir``; sets it only when the session has none
-    (tests), never to a machine-local folder on a real cluster.
+    Reads ``spark.checkpoint.dir``; without it, and without a folder set on the
+    context, this raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,10 +46,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="txnwatch-ck-", dir="/tmp"))
-        return sc.getCheckpointDir()
-    raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
 
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:

@@ -2,34 +2,44 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from txnwatch.functions.contract import na_to_null
 from txnwatch.session import checkpoint_path
 
-_ROW_BITS = 33  # bits of monotonically_increasing_id() that count rows in a partition
+_ROW_BITS = 33  # bits of monotonically_increasing_id() that count rows in a task
+_FILE_BITS = 44  # bits of seq that hold a position in a file
 
 
-def with_file_order(df: DataFrame) -> DataFrame:
-    """Add ``seq``: a unique bigint increasing in file order.
+def _plain(uri: Column) -> Column:
+    """One spelling of file:/x and file:///x."""
+    return F.regexp_replace(uri, "^file:/+", "file:/")
 
-    Splits are numbered by (file path, block start) on the small table of
-    splits; inside a split rows keep read order.  Evaluate once and persist
-    (ingest writes the table), since file listing decides the numbering.
+
+def with_file_order(df: DataFrame, row_index: bool = False) -> DataFrame:
+    """Add ``seq``: a unique bigint that increases with (file name, position in file).
+
+    The position is the row index where the format has one (Parquet), else the
+    split's first byte plus the row's number in its task; a row has at least a byte,
+    so splits of a file cannot meet.  Files are numbered from the listing that the
+    scan has made anyway: the data is read once, and the small table of file numbers
+    is joined without a hint.
     """
-    marked = df.select("*", F.col("_metadata.file_path").alias("_fp"),
-                       F.col("_metadata.file_block_start").alias("_fb"),
-                       F.monotonically_increasing_id().alias("_mid"))
-    splits = marked.select("_fp", "_fb").distinct()
-    # one row per file split: bounded by the file listing, safe to broadcast
-    ordinals = splits.select("_fp", "_fb", F.expr("row_number() OVER (ORDER BY _fp, _fb) - 1").alias("_so"))
-    joined = marked.join(F.broadcast(ordinals), ["_fp", "_fb"])
-    seq = F.shiftleft(F.col("_so"), _ROW_BITS) + F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return joined.withColumn("seq", seq).drop("_fp", "_fb", "_mid", "_so")
+    spark = df.sparkSession
+    names = sorted(re.sub("^file:/+", "file:/", f) for f in df.inputFiles())
+    order = spark.createDataFrame(list(zip(names, range(len(names)))), "_name string, _file long")
+    row = F.col("_metadata.row_index") if row_index else (
+        F.col("_metadata.file_block_start")
+        + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+    marked = df.select("*", _plain(F.col("_metadata.file_path")).alias("_path"), row.alias("_row"))
+    joined = marked.join(order, F.col("_path") == F.col("_name"))
+    return joined.withColumn("seq", F.shiftleft("_file", _FILE_BITS) + F.col("_row")).drop("_path", "_row", "_name", "_file")
 
 
 def scan_csv(spark: SparkSession, path: str, max_rows: int | None = None,
@@ -44,9 +54,11 @@ def scan_csv(spark: SparkSession, path: str, max_rows: int | None = None,
     return limit_rows(df, max_rows) if max_rows else df
 
 
-def scan_parquet(spark: SparkSession, path: str, max_rows: int | None = None) -> DataFrame:
-    """Parquet scan (column pruning and filters reach the reader)."""
+def scan_parquet(spark: SparkSession, path: str, max_rows: int | None = None, add_seq: bool = True) -> DataFrame:
+    """Parquet scan (column pruning and filters reach the reader), in file order."""
     df = spark.read.parquet(path)
+    if add_seq and "seq" not in df.columns:
+        df = with_file_order(df, row_index=True)
     return limit_rows(df, max_rows) if max_rows else df
 
 
@@ -89,25 +101,29 @@ def sink_report_json(report: DataFrame, path: str) -> str:
 def scan_report_json(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """Read a JSON report; missing or unreadable -> None."""
     try:
-        r = spark.read.schema(schema).json(path) if schema is not None else spark.read.json(path)
-        if "_corrupt_record" in r.columns:
-            return None
-        return r
+        if schema is None:
+            r = spark.read.json(path)
+            return None if "_corrupt_record" in r.columns else r
+        bad = T.StructField("_corrupt_record", T.StringType())
+        r = spark.read.schema(T.StructType([*schema.fields, bad])).json(path).cache()  # reports are small
+        unreadable = not r.where("_corrupt_record IS NOT NULL").isEmpty()
+        return None if unreadable else r.drop("_corrupt_record")
     except AnalysisException:
         return None
 
 
-def scan_report_csv(spark: SparkSession, path: str, limit: int = 10_000, schema=None,
+def scan_report_csv(spark: SparkSession, path: str, limit: int | None = None, schema=None,
                     order_col: str | None = None) -> DataFrame:
-    """Read a CSV report (first ``limit`` rows); missing -> empty frame."""
+    """Read a CSV report; missing -> empty frame.  A ``limit`` is a page of the
+    report and needs the column that orders it."""
+    if limit is not None and order_col is None:
+        raise ValueError("a limited report needs order_col")
     try:
         reader = spark.read.option("header", True)
         df = reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path)
     except AnalysisException:
         return spark.createDataFrame([], schema or "value string")
-    if order_col:
-        return df.orderBy(order_col).limit(limit)
-    return df.limit(limit)
+    return df.orderBy(order_col).limit(limit) if limit is not None else df
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
