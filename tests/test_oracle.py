@@ -1,18 +1,24 @@
 """Every registered query against its DuckDB oracle on the sf0.001 tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from helpers import duck_rows, spark_rows
 
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+def general(entries):
+    """Without the training-data operators, which have their own tests."""
+    return {k: v for k, v in entries.items() if not re.match(r"op\d+_|pipeline$", k)}
+
+
+ORACLE = general(entry.oracle_sql())
+QUERIES = general(entry.queries())
 
 
 def test_every_query_has_an_oracle_or_a_reason():
-    rows_only = {"train_gbt", "predict_score", "model_bundle_save", "model_bundle_load", "paced_replay",
-                 "latency_buckets"}
+    rows_only = {"train_gbt", "predict_score", "paced_replay"}
     assert set(QUERIES) - set(ORACLE) == rows_only
 
 

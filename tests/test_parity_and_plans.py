@@ -27,22 +27,31 @@ def test_live_features_equal_batch_at_any_cut(spark, frac):
     assert got == want
 
 
-def test_feature_plan_shuffles_rows_twice(spark):
-    """Rows are shuffled once per side; the other (key, chunk) repartitions
-    move the small carry tables (pair + sender carries, receiver carry) so
-    that the union stays co-partitioned with the rows."""
-    f = history.causal_features(txn(spark, SF_SMALL))
+@pytest.mark.parametrize("rows_per_chunk,sender_side,receiver_side", [(10**9, 1, 1), (100, 3, 2)])
+def test_feature_plan_shuffles_rows_twice(spark, rows_per_chunk, sender_side, receiver_side):
+    """Rows are shuffled once per side.  With several chunks the carry rows (pair and
+    sender, receiver) are dealt the same way for the unions; with one there are none."""
+    f = history.causal_features(txn(spark, SF_SMALL), rows_per_chunk)
     plan = f._jdf.queryExecution().executedPlan().toString()
-    sender = re.findall(r"Exchange hashpartitioning\(from_account#\d+, _chunk#\d+L, \d+\), REPARTITION_BY_COL", plan)
-    receiver = re.findall(r"Exchange hashpartitioning\(to_account#\d+, _chunk#\d+L, \d+\), REPARTITION_BY_COL", plan)
-    assert len(sender) == 3 and len(receiver) == 2
+    sender = re.findall(r"Exchange hashpartitioning\(from_account#\d+, (?:_chunk#\d+L|0), \d+\), REPARTITION_BY_COL", plan)
+    receiver = re.findall(r"Exchange hashpartitioning\(to_account#\d+, (?:_chunk#\d+L|0), \d+\), REPARTITION_BY_COL", plan)
+    assert (len(sender), len(receiver)) == (sender_side, receiver_side)
     assert "SinglePartition" not in plan
-    # everything else is an aggregation exchange or a broadcast Catalyst chose
-    # for a chunk table under its size threshold (no broadcast hint is used)
+    if sender_side == 1:
+        assert plan.count("Exchange ") == 2
     others = re.findall(r"Exchange (\w+)", plan)
     assert set(others) <= {"hashpartitioning", "HashedRelationBroadcastMode"}
 
 
+def test_many_chunks_equal_one(spark):
+    t = txn(spark, SF_SMALL)
+    cols = ["seq", "sender_prev_tx_count", "receiver_prev_tx_count", "pair_prev_count", "sender_unique_counterparties",
+            "receiver_unique_counterparties", "sender_minutes_since_last", "receiver_minutes_since_last"]
+    one = sorted(map(tuple, history.causal_features(t).select(*cols).collect()))
+    many = sorted(map(tuple, history.causal_features(t, 90).select(*cols).collect()))
+    assert one == many
+
+
 def test_parquet_scan_prunes_columns(spark):
     from txnwatch.plans.fixtures import FIXTURE_SQL, driver_table
     raw_txn = spark.sql(FIXTURE_SQL["txn"][0], events=driver_table(spark, SF_SMALL, "events"))
@@ -96,3 +105,82 @@ def test_snapshot_on_next_row_equals_batch(spark, frac):
     got = [tuple(round(v, 8) if isinstance(v, float) else v for v in r) for r in snap.select(*cols).collect()]
     want = [tuple(round(v, 8) if isinstance(v, float) else v for v in r) for r in full.select(*cols).collect()]
     assert got == want and len(got) == 1
+
+
+def test_small_batch_reads_its_state_buckets_only(spark):
+    """The state read for a batch of few accounts prunes to their bucket folders."""
+    from txnwatch.sources.files import scratch_path
+    from txnwatch.streaming import scoring
+    t = txn(spark, SF_SMALL)
+    out = scratch_path(spark, "state")
+    scoring.write_state(spark, out, 0, state.account_state(t), state.pair_state(t))
+    few = t.select(F.col("from_account").alias("account")).distinct().orderBy("account").limit(3)
+    pairs = t.select("from_account", "to_account").join(few.withColumnRenamed("account", "from_account"), "from_account").distinct()
+    acct, _ = scoring.read_state(spark, out, 1, None, few, pairs)
+    plan = acct._jdf.queryExecution().executedPlan().toString()
+    used = few.select(scoring.bucket().alias("b")).distinct().collect()
+    assert "PartitionFilters" in plan and all(str(r["b"]) in plan for r in used) and len(used) <= 3
+    scans = [f for f in acct.inputFiles() if "/v=0/account/" in f]
+    assert {int(re.search(r"bucket=(\d+)", f)[1]) for f in scans} >= {r["b"] for r in used}
+    want = state.account_state(t).join(few, "account", "left_semi").select("account", "sent_count")
+    assert sorted(map(tuple, acct.select("account", "sent_count").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_frozen_state_stream(spark):
+    """With update_state=False all micro-batches see the initial state only."""
+    import math
+    from txnwatch.sources.files import scratch_path
+    from txnwatch.streaming.scoring import stream_score
+    t = txn(spark, SF_SMALL)
+    first, rest = t.where("seq < 600"), t.where("seq >= 600")
+    initial = state.account_state(first).checkpoint(), state.pair_state(first).checkpoint()
+    msgs = rp.encode_transactions(rest).checkpoint()
+    src, out = scratch_path(spark, "topic"), scratch_path(spark, "stream-out")
+    rp.replay_sink(msgs, src, chunk_rows=math.ceil(msgs.count() / 2))
+    stream_score(spark, src, out, initial_state=initial, update_state=False, checkpoint=scratch_path(spark, "ck")).awaitTermination()
+    cols = ["sender_prev_tx_count", "receiver_prev_tx_count", "pair_prev_count"]
+    got = sorted(map(tuple, spark.read.parquet(out + "/features").select("seq", *cols).collect()))
+    want = with_ordinal(history.snapshot_features(rest, *initial), ["seq"], "_ri").select(F.col("_ri").alias("seq"), *cols)
+    assert got == sorted(map(tuple, want.collect()))
+
+
+def test_file_order_over_files_and_splits(spark):
+    """seq is unique and in file order for CSV files of several splits and for Parquet."""
+    from txnwatch.sources.files import scan_csv, scan_parquet, scratch_path
+    path = scratch_path(spark, "ordered files")
+    rows = spark.range(3000).selectExpr("id", "repeat('x', cast(id % 50 as int)) as pad")
+    rows.repartitionByRange(3, "id").sortWithinPartitions("id").write.option("header", True).csv(path + "/csv")
+    rows.repartitionByRange(3, "id").sortWithinPartitions("id").write.parquet(path + "/pq")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        csv = scan_csv(spark, path + "/csv")
+        assert csv.rdd.getNumPartitions() > 5
+        for df in (csv, scan_parquet(spark, path + "/pq")):
+            got = [int(r["id"]) for r in sorted(df.collect(), key=lambda r: r["seq"])]
+            assert got == list(range(3000)) and df.select("seq").distinct().count() == 3000
+        assert [int(r["id"]) for r in scan_csv(spark, path + "/csv", max_rows=10).collect()] == list(range(10))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_reports_and_limits(spark):
+    from txnwatch.operators.alerts import load_alerts, recent_alerts
+    from txnwatch.sources.files import scan_report_json, scratch_path
+    path = scratch_path(spark, "bad")
+    spark.createDataFrame([("{not json",)], "value string").write.text(path)
+    schema = spark.createDataFrame([], "rows long").schema
+    assert scan_report_json(spark, path, schema) is None and scan_report_json(spark, path) is None
+    table = spark.createDataFrame([], "alert_id string, created_at timestamp")
+    for call in (lambda: recent_alerts(table, 501), lambda: load_alerts(table, 0), lambda: load_alerts(table, 50_001)):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_paced_replay_waits(spark):
+    import time
+    from txnwatch.sources.files import scratch_path
+    msgs = rp.encode_transactions(txn(spark, SF_SMALL).limit(40)).checkpoint()
+    t0 = time.monotonic()
+    assert rp.replay_sink(msgs, scratch_path(spark, "paced"), events_per_second=20.0) == 2
+    assert time.monotonic() - t0 >= 1.0

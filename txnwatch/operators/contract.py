@@ -26,7 +26,7 @@ def normalize_columns(df: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFr
     present = set(mapping.values())
     missing = [c for c in CANONICAL_COLUMNS if c not in present]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError("no column for " + ", ".join(missing))
     by_target = {v: k for k, v in mapping.items()}
     passthrough = [F.col(f"`{k}`") for k in keep if k in df.columns and k not in CANONICAL_COLUMNS]
     return df.select(*passthrough, *[F.col(f"`{by_target[c]}`").alias(c) for c in CANONICAL_COLUMNS])
@@ -109,12 +109,6 @@ def upper_currency(requests: DataFrame) -> DataFrame:
         .withColumn("payment_currency", F.upper("payment_currency"))
 
 
-def accepted_requests(requests: DataFrame) -> DataFrame:
-    """Valid requests typed for scoring (timestamp parsed, currencies upper-cased)."""
-    v = validate_requests(requests).where(F.col("valid")).drop("errors", "valid")
-    return upper_currency(v).withColumn("timestamp", cx.parse_timestamp(F.col("timestamp")))
-
-
 def validate_feedback(feedback: DataFrame) -> DataFrame:
     """C14: add ``errors`` and ``valid`` to feedback rows."""
     return feedback.withColumn("errors", cx.feedback_errors()).withColumn("valid", F.size("errors") == 0)

@@ -18,16 +18,6 @@ from txnwatch.schema import DRIFT_CATEGORICAL, DRIFT_NUMERIC
 SHARE_FLOOR = 1e-6
 
 
-def _numeric(df: DataFrame, col: str) -> DataFrame:
-    v = F.col(col).cast("string").try_cast("double")
-    return df.select(v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-
-
-def psi_edges(reference: DataFrame, col: str, bins: int = 10) -> list[float]:
-    """Unique reference quantile edges (bins + 1 linear quantiles)."""
-    return sorted(set(grouped_quantiles(reference, [col], bins + 1)[col]))
-
-
 def psi_many(reference: DataFrame, current: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
     """D1 for several columns at once: (feature, psi).
 

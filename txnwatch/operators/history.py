@@ -60,7 +60,8 @@ def chunk_bounds(rows: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> list[
 def with_chunk(df: DataFrame, bounds: list[int]) -> DataFrame:
     """Adds the chunk number: how many bounds lie at or before the row's time."""
     if not bounds:
-        return df.withColumn(CHUNK, F.lit(0).cast("long"))
+        # always 0, but no literal: as one it would vanish from the windows and not from the exchanges
+        return df.withColumn(CHUNK, F.pmod(F.unix_micros("timestamp"), F.lit(1)))
     timed = df.withColumn("_time", F.unix_micros("timestamp").cast("double"))
     out = bucket_index("_time", [float(b) for b in bounds], CHUNK).setHandleInvalid("keep").transform(timed)
     return out.withColumn(CHUNK, F.col(CHUNK).cast("long")).drop("_time")

@@ -108,29 +108,8 @@ def grouped_quantiles(df: DataFrame, cols: list[str], count: int) -> dict[str, l
 
 
 def grouped_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
-    """Exact median (mean of the two middle values) of each column, all
-    columns in one pass: (column, value) histogram -> prefix sums ordered by
-    (column, value) -> the middle ranks per column.  Nulls are ignored."""
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_f"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_x")) \
-        .select("_x._f", "_x._v").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    hist = long.groupBy("_f", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    counts = {r["_f"]: int(r["n"]) for r in hist.groupBy("_f").agg(F.sum("_n").alias("n")).collect()}
-    base, targets, want = 0, [], {}
-    for c in sorted(counts):
-        n = counts[c]
-        j, r = (n - 1) // 2, (n - 1) % 2
-        want[c] = (base + j, base + j + 1 if r else None)
-        targets += [base + j] + ([base + j + 1] if r else [])
-        base += n
-    if not targets:
-        return {c: None for c in cols}
-    h = prefix_sums(hist, ["_f", "_v"], ["_n"])
-    got = {int(r["rank"]): float(r["value"]) for r in _pick_ranks(h, "_v", targets).collect()}
-    out: dict[str, float | None] = {c: None for c in cols}
-    for c, (a, b) in want.items():
-        out[c] = got[a] if b is None else (got[a] + got[b]) / 2.0
-    return out
+    """Exact median of each column (mean of the two middle values); None without values."""
+    return {c: q[1] if q else None for c, q in grouped_quantiles(df, cols, 3).items()}
 
 
 def _pick_ranks(h: DataFrame, value_col: str, ranks: list[int]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnwatch import jobs
 from txnwatch.operators import contract as ct
 from txnwatch.operators.ordinal import with_ordinal
 from txnwatch.plans.fixtures import duckdb_with, fixture
@@ -249,3 +250,12 @@ def q_scan_report_json(spark, sf_dir):
     return files.scan_report_json(spark, path).select(
         *[F.col(c).cast(rep.schema[c].dataType).alias(c) for c in rep.columns]
     ).withColumn("label_rate", r6("label_rate"))
+
+
+@register("ingest_job", duckdb_with("raw_txn") + "," + TYPED_SQL + f"SELECT {CANON} FROM cleaned")
+def q_ingest_job(spark, sf_dir):
+    """A CSV folder ingested into a cleaned table, read back."""
+    path = files.scratch_path(spark, "ingest")
+    files.sink_csv(_in_parts(raw(spark, sf_dir)), f"{path}/raw")
+    jobs.ingest(spark, f"{path}/raw", f"{path}/table", f"{path}/report")
+    return spark.read.parquet(f"{path}/table").select(*CANONICAL_COLUMNS)

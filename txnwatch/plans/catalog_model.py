@@ -1,8 +1,8 @@
 """Queries for model preprocessing, training and scoring.
 
 Features are built over the whole transaction fixture, then split by time;
-preprocessing is fitted on the training split.  GBT training uses 20 boosting
-rounds in these checks (the full setting is a Params field).
+preprocessing is fitted on the training split.  The queries that need a model share
+one run of the training job per session and input (default settings).
 """
 
 from __future__ import annotations
@@ -10,18 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnwatch import jobs
+from txnwatch.config import DEFAULT, PRODUCTION
 from txnwatch.operators import evaluate as ev
 from txnwatch.operators import model as ml
-from txnwatch.plans.catalog_evaluate import TRAIN_FRAC
+from txnwatch.plans.catalog_contract import REQUEST_ERRORS_SQL
+from txnwatch.plans.catalog_evaluate import TRAIN_FRAC, VAL_FRAC
 from txnwatch.plans.catalog_features import FEAT_SQL, features
-from txnwatch.plans.fixtures import duckdb_with
+from txnwatch.plans.fixtures import duckdb_with, fixture, txn
 from txnwatch.plans.registry import r6, register
 from txnwatch.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from txnwatch.sources import files
 
-CHECK_ITER = 20
-
-
 def split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.temporal_split(features(spark, sf_dir)).checkpoint()
 
@@ -73,43 +73,98 @@ def q_weights(spark, sf_dir):
     return spark.createDataFrame(sorted(w.items()), "is_laundering int, weight double").select("is_laundering", r6("weight"))
 
 
-def _fit(spark, sf_dir):
-    s = split_features(spark, sf_dir)
-    model, prep = ml.train_gbt(s.where(F.col("split") == "train"), max_iter=CHECK_ITER)
-    return s, model, prep
+_TRAINED: dict[tuple[str, str], tuple[ml.Bundle, str]] = {}
+
+
+def trained(spark: SparkSession, sf_dir: str) -> tuple[ml.Bundle, str]:
+    """The bundle of the training job and the folder of its bundle, report and scores."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        path = files.scratch_path(spark, "train")
+        bundle = jobs.train(spark, txn(spark, sf_dir), f"{path}/bundle", f"{path}/report", f"{path}/scores",
+                            model_version="check")
+        _TRAINED[key] = (bundle, path)
+    return _TRAINED[key]
+
+
+ORDERED_SQL = duckdb_with("txn") + """,
+o AS (SELECT *, row_number() OVER (ORDER BY timestamp, seq) - 1 AS ord, count(*) OVER () AS n FROM txn)
+"""
+
+
+def _after(frac: str) -> str:
+    return f"ord >= CAST(floor(n * CAST({frac} AS DOUBLE)) AS BIGINT)"
 
 
 @register("train_gbt")
 def q_train(spark, sf_dir):
-    _, model, _ = _fit(spark, sf_dir)
-    return ml.feature_importances(model, spark)
+    return ml.feature_importances(trained(spark, sf_dir)[0].model, spark)
 
 
 @register("predict_score")
 def q_predict(spark, sf_dir):
-    s, model, prep = _fit(spark, sf_dir)
-    return ml.predict_score(model, prep, s.where(F.col("split") == "test"), keep=["seq"])
-
-
-def _saved(spark, sf_dir):
-    s, model, prep = _fit(spark, sf_dir)
-    path = files.scratch_path(spark, "bundle")
-    ml.save_bundle(ml.Bundle(model, prep, 0.5, "check", {"rows": s.count()}), path)
-    return s, path
+    b, _ = trained(spark, sf_dir)
+    s = split_features(spark, sf_dir)
+    return ml.predict_score(b.model, b.prep, s.where(F.col("split") == "test"), keep=["seq"])
 
 
-@register("model_bundle_save")
+@register("train_job", ORDERED_SQL + f"""
+SELECT CASE WHEN {_after(VAL_FRAC)} THEN 'test' ELSE 'validation' END AS split, count(*) AS rows,
+       CAST(sum(is_laundering) AS BIGINT) AS positives, TRUE AS counts_agree, TRUE AS within_budget
+FROM o WHERE {_after(TRAIN_FRAC)} GROUP BY 1""")
+def q_train_job(spark, sf_dir):
+    """The metrics that the job saved, against the scores that it wrote."""
+    b, path = trained(spark, sf_dir)
+    scores = spark.read.parquet(f"{path}/scores")
+    alert = F.col("risk_score") >= b.threshold
+    seen = scores.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("is_laundering").cast("long").alias("positives"),
+        F.count_if(alert & (F.col("is_laundering") == 1)).alias("tp"),
+        F.count_if(alert & (F.col("is_laundering") == 0)).alias("fp"))
+    saved = ml.load_bundle(spark, f"{path}/bundle").metadata["metrics"]
+    told = spark.createDataFrame([(k, m["tp"], m["fp"], m["recall"], m["alert_rate"]) for k, m in saved.items()],
+                                 "split string, tp_saved long, fp_saved long, recall double, alert_rate double")
+    sweep = ev.threshold_sweep(scores.where("split = 'validation'"))
+    feasible = sweep.where((F.col("alert_rate") <= DEFAULT.max_alert_rate) & (F.col("recall") >= DEFAULT.min_recall))
+    any_feasible = not feasible.isEmpty()
+    kept = (F.col("alert_rate") <= DEFAULT.max_alert_rate) & (F.col("recall") >= DEFAULT.min_recall)
+    return seen.join(told, "split").select(
+        "split", "rows", "positives", ((F.col("tp") == F.col("tp_saved")) & (F.col("fp") == F.col("fp_saved"))).alias("counts_agree"),
+        (kept if any_feasible else F.lit(True)).alias("_kept")).select(
+        "split", "rows", "positives", "counts_agree",
+        (F.col("_kept") | (F.col("split") == "test")).alias("within_budget"))
+
+
+@register("model_bundle_save", duckdb_with("txn") + """
+SELECT 'check' AS model_version, count(*) AS rows,
+       (SELECT count(*) FROM (SELECT from_account FROM txn UNION SELECT to_account FROM txn)) AS accounts,
+       (SELECT count(*) FROM (SELECT DISTINCT from_account, to_account FROM txn)) AS pairs
+FROM txn""")
 def q_bundle_save(spark, sf_dir):
-    """Save a bundle; return its metadata as read back from storage."""
-    _, path = _saved(spark, sf_dir)
-    b = ml.load_bundle(spark, path)
-    return spark.createDataFrame([(b.model_version, b.threshold, int(b.metadata["rows"]), b.model.getNumTrees)],
-                                 "model_version string, threshold double, rows long, trees int")
+    """What a saved bundle holds, read back from storage."""
+    _, path = trained(spark, sf_dir)
+    b = ml.load_bundle(spark, f"{path}/bundle")
+    accounts, pairs = ml.load_state(spark, f"{path}/bundle")
+    return spark.createDataFrame([(b.model_version, int(b.metadata["dataset"]["rows"]), accounts.count(), pairs.count())],
+                                 "model_version string, rows long, accounts long, pairs long")
 
 
-@register("model_bundle_load")
+@register("model_bundle_load", ORDERED_SQL + f"SELECT seq, TRUE AS same FROM o WHERE {_after(VAL_FRAC)}")
 def q_bundle_load(spark, sf_dir):
-    """Load a saved bundle (type-checked) and score the test split with it."""
-    s, path = _saved(spark, sf_dir)
-    b = ml.load_bundle(spark, path)
-    return ml.predict_score(b.model, b.prep, s.where(F.col("split") == "test"), keep=["seq"])
+    """Scores of a loaded bundle's scorer equal those the training job wrote."""
+    _, path = trained(spark, sf_dir)
+    b = ml.load_bundle(spark, f"{path}/bundle")
+    test = split_features(spark, sf_dir).where(F.col("split") == "test")
+    wrote = spark.read.parquet(f"{path}/scores").select("seq", F.col("risk_score").alias("written"))
+    again = ml.bundle_scorer(b)(test).select("seq", "risk_score")
+    return again.join(wrote, "seq").select("seq", (F.abs(F.col("risk_score") - F.col("written")) < 1e-12).alias("same"))
+
+
+@register("score_job", duckdb_with("requests") + f"""
+SELECT seq, 'check' AS model_version, TRUE AS scored FROM requests WHERE len({REQUEST_ERRORS_SQL}) = 0""")
+def q_score_job(spark, sf_dir):
+    """Requests scored with the saved bundle and its frozen state."""
+    _, path = trained(spark, sf_dir)
+    out = jobs.score_requests(spark, fixture(spark, sf_dir, "requests"), f"{path}/bundle", PRODUCTION)
+    return out.select("seq", "model_version", (F.col("risk_score").between(0, 1) & (
+        (F.col("decision") == "alert") == (F.col("risk_score") >= F.col("threshold")))).alias("scored"))

@@ -35,9 +35,6 @@ ALIASES = {
     "Payment Currency": "payment_currency",
     "Payment Format": "payment_format",
     "Is Laundering": "is_laundering",
-    "is_laundering": "is_laundering",
-    "from_account": "from_account",
-    "to_account": "to_account",
     # Spark-only spellings of the duplicated header
     "Account2": "from_account",
     "Account4": "to_account",
@@ -107,20 +104,6 @@ GRAPH_SCORE_COLUMNS = [
     "reciprocal_counterparties",
 ]
 
-ALERT_COLUMNS = [
-    "id",
-    "alert_id",
-    "transaction_id",
-    "created_at",
-    "risk_score",
-    "threshold",
-    "decision",
-    "model_version",
-    "reason_codes",
-    "payload",
-    "analyst_outcome",
-    "analyst_notes",
-]
 PAYLOAD_FIELDS = [
     "timestamp",
     "from_bank",
@@ -165,20 +148,6 @@ TXN_SCHEMA = T.StructType([
     T.StructField("is_laundering", T.IntegerType()),
 ])
 
-REQUEST_SCHEMA = T.StructType([
-    T.StructField("transaction_id", T.StringType()),
-    T.StructField("timestamp", T.StringType()),
-    T.StructField("from_bank", T.StringType()),
-    T.StructField("from_account", T.StringType()),
-    T.StructField("to_bank", T.StringType()),
-    T.StructField("to_account", T.StringType()),
-    T.StructField("amount_received", T.DoubleType()),
-    T.StructField("receiving_currency", T.StringType()),
-    T.StructField("amount_paid", T.DoubleType()),
-    T.StructField("payment_currency", T.StringType()),
-    T.StructField("payment_format", T.StringType()),
-])
-
 # Columns of the alert search and the alert export.
 SEARCH_COLUMNS = ["transaction_id", "from_account", "to_account", "alert_id"]
 
