@@ -53,7 +53,8 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
             .groupBy("h1", "h2", "doc_id", "text_key").agg(F.collect_list("pos").alias("at")))
     per_doc = runs.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one"))
     hot = (per_doc.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
-           .filter(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper"))
+           .filter(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper").checkpoint())
+    # written first, so that the join below can be split where a key has many runs
     lost = (runs.join(hot, ["h1", "h2"])
             .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
             .select("doc_id", "text_key", F.explode("at").alias("pos")))
