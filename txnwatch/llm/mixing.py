@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_BUCKET = 50_000
+#: Tables with a row per source are broadcast up to this many rows, else joined.
+BROADCAST_ROWS = 100_000
 
 
 def n_words(text: str = "text") -> Column:
@@ -97,9 +99,12 @@ def cutoffs(rows: DataFrame, targets: DataFrame, buckets: int, seed: str, favour
 
 def _plan(docs: DataFrame, weights: tuple[float, ...], cap: float, seed: str, favour: Column | None):
     rows = docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"), n_words().alias("size")).checkpoint()
-    targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
+    targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap).checkpoint()
+    few = targets.count() <= BROADCAST_ROWS
+    targets = F.broadcast(targets) if few else targets
     buckets = max(1024, rows.count() // ROWS_PER_BUCKET)
-    cut = cutoffs(rows, targets, buckets, seed, favour).withColumnRenamed("source", "_src")
+    cut = cutoffs(rows, targets, buckets, seed, favour).withColumnRenamed("source", "_src").checkpoint()
+    cut = F.broadcast(cut) if few else cut
 
     def decide(df: DataFrame) -> DataFrame:
         """Adds source_size, target and copies to rows with doc_id, source, text_key."""
