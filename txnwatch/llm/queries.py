@@ -41,7 +41,8 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_templates.judge_urls(_table(spark, sf_dir, "pages"))
+    out = url_templates.judge_urls(_table(spark, sf_dir, "pages"))
+    return out.withColumn("purity", F.round("purity", 6))
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +89,64 @@ WITH lines AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op7_url_templates": r"""
+WITH parts AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), ruled AS (
+  SELECT host, path, count(*) AS n,
+         CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+              WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+              WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+              WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+              WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM parts GROUP BY host, path
+), urls AS (
+  SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS given,
+         list_filter(string_split(path, '/'), lambda x: x <> '') AS segs
+  FROM ruled
+), exploded AS (
+  SELECT host, path, segs, unnest(segs) AS seg, generate_subscripts(segs, 1) - 1 AS pos FROM urls
+), nodes AS (
+  SELECT host, path, pos, seg, regexp_replace(seg, '[0-9]+', '0', 'g') AS shape,
+         array_to_string(list_transform(segs[1:pos], lambda x: regexp_replace(x, '[0-9]+', '0', 'g')), '/') AS above
+  FROM exploded
+), shapes AS (
+  SELECT host, pos, above, shape, count(DISTINCT seg) AS kinds, count(*) AS n FROM nodes GROUP BY ALL
+), places AS (
+  SELECT host, pos, above, count(*) AS kinds, sum(n) AS n FROM shapes GROUP BY ALL
+), anywhere AS (
+  SELECT pos, above, shape, sum(kinds) AS kinds FROM shapes GROUP BY ALL
+), named AS (
+  SELECT x.host, x.path, x.pos,
+         CASE WHEN p.kinds >= 8 AND p.kinds > 0.5 * p.n THEN '*'
+              WHEN a.kinds > 1 AND contains(x.shape, '0') THEN regexp_replace(x.seg, '[0-9]+', '*', 'g')
+              ELSE x.seg END AS part
+  FROM nodes x JOIN places p USING (host, pos, above) JOIN anywhere a USING (pos, above, shape)
+), judged AS (
+  SELECT u.host, u.path, u.n, u.rule, u.given, '/' || coalesce(string_agg(m.part, '/' ORDER BY m.pos), '') AS template
+  FROM urls u LEFT JOIN named m ON u.host = m.host AND u.path = m.path
+  GROUP BY u.host, u.path, u.n, u.rule, u.given
+), own AS (
+  SELECT host, template, sum(CASE WHEN given IS NOT NULL THEN n ELSE 0 END)::DOUBLE AS n,
+         sum(CASE WHEN given = 'block' THEN n ELSE 0 END)::DOUBLE AS b
+  FROM judged GROUP BY host, template
+), shared AS (
+  SELECT template, (sum(b) + 4.0::DOUBLE * (SELECT (sum(b) + 0.5::DOUBLE) / (sum(n) + 1.0::DOUBLE) FROM own))
+                   / (sum(n) + 4.0::DOUBLE) AS p
+  FROM own GROUP BY template
+), purity AS (
+  SELECT host, template,
+         CASE WHEN n = 0 OR abs(b / nullif(n, 0) - p) / sqrt(p * (1 - p) / nullif(n, 0) + 1e-9::DOUBLE) < 2.0::DOUBLE THEN p
+              ELSE (b + 4.0::DOUBLE * p) / (n + 4.0::DOUBLE) END AS purity
+  FROM own JOIN shared USING (template)
+)
+SELECT r.page_id, r.host, r.path, j.rule,
+       coalesce(j.given, CASE WHEN y.purity >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+       j.template, round(y.purity, 6) AS purity
+FROM parts r JOIN judged j USING (host, path) JOIN purity y USING (host, template)""",
     "op8_source_mixing": r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, source,
@@ -151,4 +210,4 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        n_hit IS NOT NULL AS contaminated
 FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
-}
+}
\ No newline at end of file
