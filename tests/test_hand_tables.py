@@ -169,3 +169,19 @@ def test_prefix_sums_across_many_partitions(spark):
     vals = spark.createDataFrame([(float(v),) for v in [5, 1, 3, 3, 9, 7, 3]], "v double")
     ranks = {r["rank"]: r["value"] for r in values_at_ranks(vals, "v", [0, 2, 4, 6]).collect()}
     assert ranks == {0: 1.0, 2: 3.0, 4: 5.0, 6: 9.0}
+
+
+def test_quantiles_are_exact_beyond_the_sketch(spark):
+    """30,000 rows, heavy ties, NaN and nulls, against numpy."""
+    import numpy as np
+    from txnwatch.operators.ordinal import grouped_medians, grouped_quantiles
+    rng = np.random.default_rng(8)
+    a, b = rng.lognormal(3, 2, 30_000), rng.integers(0, 4, 30_000).astype(float)
+    df = spark.createDataFrame([(float(x), float(y) if i % 5 else None, float("nan"), 7.0 if i == 9 else None)
+                                for i, (x, y) in enumerate(zip(a, b))], "a double, b double, c double, d double")
+    got = grouped_quantiles(df, ["a", "b", "c", "d"], 11)
+    kept = np.array([y for i, y in enumerate(b) if i % 5])
+    assert got["a"] == pytest.approx(np.quantile(a, np.linspace(0, 1, 11)).tolist(), rel=1e-12)
+    assert got["b"] == pytest.approx(np.quantile(kept, np.linspace(0, 1, 11)).tolist())
+    assert got["c"] == [] and got["d"] == [7.0] * 11
+    assert grouped_medians(df, ["a", "c"]) == {"a": pytest.approx(float(np.median(a))), "c": None}
