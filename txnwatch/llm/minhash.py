@@ -41,7 +41,7 @@ from txnwatch.llm.text import SPACE, WordTable, mix64, word_tables
 PERMUTATIONS = 48
 BANDS = 24
 BLOCK = 1024
-#: Family ids are broadcast up to this many rows (about 40 bytes each), else joined.
+#: Tables with a row per family or class in one are broadcast up to this many rows, else joined.
 BROADCAST_ROWS = 1_000_000
 _COLS = 4096
 
@@ -182,6 +182,11 @@ def _compare(percent: int):
     return run
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A checkpointed table, marked for broadcast if it has few enough rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def _tasks(classes: DataFrame, percent: int, block: int) -> DataFrame:
     """(cid, family, task, side): which comparison task gets a class.  Small
     families are packed into tasks by the volume of their sets; a large family
@@ -189,15 +194,17 @@ def _tasks(classes: DataFrame, percent: int, block: int) -> DataFrame:
     Sides 0 and 1 are the blocks of a task that compares two blocks."""
     volume = classes.agg(F.sum("n")).first()[0] or 0
     packs = max(1, int(volume // 2_000_000) + 1)
-    size = classes.groupBy("family").agg(F.count(F.lit(1)).alias("family_size"))
-    rows = classes.join(size, "family")
-    small = (rows.filter(F.col("family_size") <= block)
+    # a row per large family only: at most rows / block, so the join keeps its large side in place
+    big = (classes.groupBy("family").agg(F.count(F.lit(1)).alias("family_size"))
+           .filter(F.col("family_size") > block).checkpoint())
+    rows = classes.join(_small(big), "family", "left")
+    small = (rows.filter("family_size IS NULL")
              .select("cid", "family", F.concat(F.lit("p"), F.pmod(F.xxhash64("family"), F.lit(packs))).alias("task"),
                      F.lit(0).alias("side")))
     level = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int")
-    large = rows.filter(F.col("family_size") > block).select("cid", "family", level.alias("level"))
+    large = rows.filter("family_size IS NOT NULL").select("cid", "family", level.alias("level"))
     cuts = (large.groupBy("family", "level").agg(F.count(F.lit(1)).alias("k"))
-            .select("family", "level", F.ceil(F.col("k") / (block // 2)).cast("int").alias("parts")))
+            .select("family", "level", F.ceil(F.col("k") / (block // 2)).cast("int").alias("parts")).checkpoint())
     own = cuts.select("family", "level", "parts")
     near = cuts.select("family", F.col("level").alias("low"), F.col("parts").alias("low_parts"))
     pairs = (own.join(near, "family")
@@ -210,7 +217,7 @@ def _tasks(classes: DataFrame, percent: int, block: int) -> DataFrame:
     sides = pairs.select("family", "level", F.col("i").alias("part"), "task", F.lit(0).alias("side")).union(
         pairs.filter(~same).select("family", F.col("low").alias("level"), F.col("j").alias("part"), "task",
                                    F.lit(1).alias("side")))
-    placed = (large.join(cuts, ["family", "level"])
+    placed = (large.join(_small(cuts), ["family", "level"])
               .withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
               .join(sides, ["family", "level", "part"])
               .select("cid", "family", "task", "side"))
@@ -234,9 +241,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, block: i
     families = (families.select(F.col("node").alias("cid"), F.col("root").alias("family"))
                 .join(signed.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "cid")
                 .checkpoint())
-    wanted = families.select(F.col("rep").alias("doc_id")).distinct()
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+    wanted = _small(families.select(F.col("rep").alias("doc_id")).distinct())
     chosen = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.doc_id), "left_semi")
     sets = chosen.mapInArrow(_set_rows(words), "cid binary, members binary")
     sets = sets.join(families.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
