@@ -20,7 +20,7 @@ def ingest(spark: SparkSession, source: str, table: str, report: str, max_rows:
     """Scan a CSV or Parquet source, clean it, write the table (partitioned by day) and
     the quality report; returns the report."""
     raw = files.scan_transactions(spark, source, max_rows)
-    cleaned, quality = contract.clean(raw)
+    cleaned, quality = contract.clean(raw, write_once=True)
     files.sink_parquet(cleaned, table)
     files.sink_report_json(quality, report)
     return files.scan_report_json(spark, report, schema=quality.schema)
@@ -37,8 +37,8 @@ def train(spark: SparkSession, table: DataFrame, bundle_path: str, report_path:
                                  keep=["seq", "timestamp", "split", "is_laundering"]).checkpoint()
     validation = scored.where("split = 'validation'")
     selected = evaluate.select_threshold(evaluate.threshold_sweep(validation, params=params), params).first()
-    metrics = {name: evaluate.evaluate_predictions(scored.where(F.col("split") == name), selected["threshold"], params)
-               .first().asDict() for name in ("validation", "test")}
+    metrics = {r["split"]: {k: v for k, v in r.asDict().items() if k != "split"}
+               for r in evaluate.evaluate_splits(scored, selected["threshold"], params=params).collect()}
     summary = evaluate.dataset_summary(feats).first().asDict()
     bundle = model.Bundle(fitted, prep, float(selected["threshold"]), model_version,
                           json.loads(json.dumps({"dataset": summary, "metrics": metrics}, default=str)))

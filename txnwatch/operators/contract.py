@@ -46,30 +46,34 @@ def coerce_types(df: DataFrame) -> DataFrame:
     return n.select(*keep, *[exprs[c].alias(c) for c in CANONICAL_COLUMNS])
 
 
-def quality_report(typed: DataFrame) -> DataFrame:
-    """One-row report over typed, unfiltered rows.
-
-    One aggregation keyed on the 11 canonical columns (partial aggregation
-    collapses duplicates map-side), then a global sum of the group rows.
-    """
-    neg = F.coalesce((F.col("amount_paid") < 0) | (F.col("amount_received") < 0), F.lit(False))
-    groups = typed.groupBy(*CANONICAL_COLUMNS).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(F.col("timestamp").isNull()).alias("_ts"),
-        F.count_if(neg).alias("_neg"),
-        F.count_if(F.col("from_account").isNull() | F.col("to_account").isNull()).alias("_acct"),
-        F.sum("is_laundering").alias("_lab"),
-    )
+def distinct_rows(typed: DataFrame, order_col: str = "seq") -> DataFrame:
+    """One row per distinct 11 columns, with its first ``seq`` and its count ``_n``;
+    partial aggregation collapses duplicates before the shuffle."""
+    first = [F.min(order_col).alias(order_col)] if order_col in typed.columns else []
+    return typed.groupBy(*CANONICAL_COLUMNS).agg(F.count(F.lit(1)).alias("_n"), *first)
+
+
+def _report(groups: DataFrame) -> DataFrame:
+    n = F.col("_n")
+
+    def rows_where(cond) -> F.Column:
+        return F.coalesce(F.sum(F.when(cond, n)), F.lit(0)).cast("long")
+    total = F.sum(n)
     return groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"),
-        F.coalesce(F.sum("_ts"), F.lit(0)).cast("long").alias("invalid_timestamps"),
-        F.coalesce(F.sum("_neg"), F.lit(0)).cast("long").alias("negative_amounts"),
-        F.coalesce(F.sum("_acct"), F.lit(0)).cast("long").alias("missing_accounts"),
-        F.coalesce(F.sum("_lab") / F.nullif(F.sum("_n"), F.lit(0)), F.lit(0.0)).cast("double").alias("label_rate"),
+        F.coalesce(total, F.lit(0)).cast("long").alias("rows"),
+        F.coalesce(F.sum(n - 1), F.lit(0)).cast("long").alias("duplicate_rows"),
+        rows_where(F.col("timestamp").isNull()).alias("invalid_timestamps"),
+        rows_where((F.col("amount_paid") < 0) | (F.col("amount_received") < 0)).alias("negative_amounts"),
+        rows_where(F.col("from_account").isNull() | F.col("to_account").isNull()).alias("missing_accounts"),
+        F.coalesce(F.sum(F.col("is_laundering") * n) / F.nullif(total, F.lit(0)), F.lit(0.0)).cast("double").alias("label_rate"),
     )
 
 
+def quality_report(typed: DataFrame) -> DataFrame:
+    """One-row report over typed, unfiltered rows."""
+    return _report(distinct_rows(typed))
+
+
 def drop_invalid(typed: DataFrame) -> DataFrame:
     """Drop rows missing time, accounts or amounts; keep amounts >= 0.
     Banks are not required."""
@@ -82,8 +86,7 @@ def drop_invalid(typed: DataFrame) -> DataFrame:
 
 def dedupe(df: DataFrame, order_col: str = "seq") -> DataFrame:
     """Exact duplicates over the 11 columns (nulls equal) keep their first row."""
-    return df.groupBy(*CANONICAL_COLUMNS).agg(F.min(order_col).alias(order_col)) \
-        .select(order_col, *CANONICAL_COLUMNS)
+    return distinct_rows(df, order_col).select(order_col, *CANONICAL_COLUMNS)
 
 
 def order_by_time(df: DataFrame) -> DataFrame:
@@ -91,11 +94,14 @@ def order_by_time(df: DataFrame) -> DataFrame:
     return df.orderBy("timestamp", "seq")
 
 
-def clean(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """C11: typed -> report; typed -> drop invalid -> dedupe.  The cleaned
-    table is unsorted: every consumer orders by (timestamp, seq) itself."""
-    typed = coerce_types(raw)
-    return dedupe(drop_invalid(typed)), quality_report(typed)
+def clean(raw: DataFrame, write_once: bool = False) -> tuple[DataFrame, DataFrame]:
+    """C11: (typed rows without invalid ones and duplicates, report).  Both come from the
+    same grouped table, which ``write_once`` writes to the checkpoint folder so that the
+    source is read and shuffled once for the two.  The cleaned table is unsorted: every
+    consumer orders by (timestamp, seq) itself."""
+    groups = distinct_rows(coerce_types(raw))
+    groups = groups.checkpoint() if write_once else groups
+    return drop_invalid(groups).select("seq", *CANONICAL_COLUMNS), _report(groups)
 
 
 def validate_requests(requests: DataFrame) -> DataFrame:

@@ -165,8 +165,8 @@ COMPARE_COLS = ["split", "threshold", "precision", "recall", "f1", "average_prec
     + f" FROM ({_metrics_sql('v')} UNION ALL {_metrics_sql('t')})")
 def q_compare(spark, sf_dir):
     e = _Eval(spark, sf_dir)
-    both = e.metrics("validation").withColumn("split", F.lit("v")).unionByName(
-        e.metrics("test").withColumn("split", F.lit("t")))
+    both = ev.evaluate_splits(e.split.where("split <> 'train'"), e.threshold)
+    both = both.withColumn("split", F.substring("split", 1, 1))
     return _rounded(both.select(*COMPARE_COLS))
 
 
