@@ -135,16 +135,14 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: fl
 
 def zscores(report: DataFrame, columns: list[str] = GRAPH_SCORE_COLUMNS) -> DataFrame:
     """Z-score per column (log1p on amount columns), population std,
-    std 0 -> 0.0.  Means and deviations are scalar subqueries (one row)."""
+    std 0 -> 0.0.  One action gives all means and deviations; the report should be
+    written before (``graph_risk_report`` checkpoints it)."""
     vals = {c: (F.log1p(F.col(c).cast("double")) if "amount" in c else F.col(c).cast("double")) for c in columns}
     stats = report.select(*[F.avg(v).alias(f"m_{c}") for c, v in vals.items()],
-                          *[F.stddev_pop(v).alias(f"s_{c}") for c, v in vals.items()])
-    out = report
-    for c, v in vals.items():
-        m = stats.select(f"m_{c}").scalar()
-        s = stats.select(f"s_{c}").scalar()
-        out = out.withColumn(f"z_{c}", F.when(s != 0, (v - m) / s).otherwise(F.lit(0.0)))
-    return out
+                          *[F.stddev_pop(v).alias(f"s_{c}") for c, v in vals.items()]).first()
+    return report.select("*", *[
+        ((v - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"]) if stats[f"s_{c}"] else F.lit(0.0)).alias(f"z_{c}")
+        for c, v in vals.items()])
 
 
 REPORT_COLUMNS = [
@@ -160,7 +158,7 @@ def graph_risk_report(txn: DataFrame, **pagerank_args) -> DataFrame:
     pr = pagerank(edges, **pagerank_args)
     rep = node_measures(edges).join(pr, "account", "left").withColumn(
         "pagerank", F.coalesce("pagerank", F.lit(0.0)))
-    rep = zscores(rep)
+    rep = zscores(rep.checkpoint())
     zs = [F.col(f"z_{c}") for c in GRAPH_SCORE_COLUMNS]
     total = zs[0]
     for z in zs[1:]:
