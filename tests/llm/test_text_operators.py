@@ -29,6 +29,20 @@ def plain_words(t):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
 
 
+def test_word_table_spans_and_hashes():
+    import pyarrow as pa
+    from txnwatch.llm.text import SPACE, WordTable, buffers
+    texts = ["One two  ONE", "", None, "one", " \n", "x" * 1000 + " two", "é É", "two"]
+    data, off = buffers(pa.array(texts))
+    table = WordTable(data, off, SPACE)
+    assert table.counts.tolist() == [len(space_words(t)) for t in texts]
+    words = [w for t in texts for w in space_words(t)]
+    for step in (1 << 18, 64, 7):  # words longer than a step are hashed in pieces
+        h = table.hashes(step).tolist()
+        assert len(h) == len(words) and h == table.hashes().tolist()
+        assert all((a == b) == (x == y) for x, a in zip(words, h) for y, b in zip(words, h))
+
+
 # --- 1: personal data -------------------------------------------------------------
 
 def luhn(digits):

@@ -43,15 +43,14 @@ def mix64(h: np.ndarray) -> np.ndarray:
 
 
 _BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64) * _MUL)
+_BASE = 0x2545F4914F6CDD1D
 _POW: dict[str, np.ndarray] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "p" not in _POW or len(_POW["p"]) < n:
         size = max(n, 1 << 18)
-        base = np.uint64(0x2545F4914F6CDD1D)
-        inv = np.uint64(pow(int(base), -1, 1 << 64))
-        for key, b in (("p", base), ("i", inv)):
+        for key, b in (("p", np.uint64(_BASE)), ("i", np.uint64(pow(_BASE, -1, 1 << 64)))):
             a = np.full(size, b, dtype=np.uint64)
             a[0] = 1
             _POW[key] = np.multiply.accumulate(a)
@@ -67,6 +66,16 @@ def _hash_range(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return (acc[ends - lo] - acc[starts - lo]) * inverse[starts - lo]
 
 
+def _hash_long(data: np.ndarray, step: int) -> np.uint64:
+    """The same hash for one word of any length, in pieces."""
+    total = 0
+    for at in range(0, len(data), step):
+        piece = data[at:at + step]
+        part = int(_hash_range(piece, np.array([0]), np.array([len(piece)]))[0])
+        total += part * pow(_BASE, at, 1 << 64)
+    return np.uint64(total % (1 << 64))
+
+
 class WordTable:
     """Words of consecutive texts: byte spans, 64-bit hashes and the text of each."""
 
@@ -99,8 +108,12 @@ class WordTable:
         out = np.empty(len(self.starts), dtype=np.uint64)
         i = 0
         while i < len(out):
-            j = int(np.searchsorted(self.starts, self.starts[i] + step))
-            out[i:j] = _hash_range(self.data, self.starts[i:j], self.ends[i:j])
+            j = max(i + 1, int(np.searchsorted(self.ends, self.starts[i] + step, side="right")))
+            if self.ends[i] - self.starts[i] > step:
+                out[i] = _hash_long(self.data[self.starts[i]:self.ends[i]], step)
+                j = i + 1
+            else:
+                out[i:j] = _hash_range(self.data, self.starts[i:j], self.ends[i:j])
             i = j
         out += (self.ends - self.starts).astype(np.uint64) * _MUL
         return mix64(out)
