@@ -193,7 +193,7 @@ def _tasks(classes: DataFrame, percent: int, block: int) -> DataFrame:
     has a task for each pair of blocks of equal or neighbouring size level.
     Sides 0 and 1 are the blocks of a task that compares two blocks."""
     volume = classes.agg(F.sum("n")).first()[0] or 0
-    packs = max(1, int(volume // 2_000_000) + 1)
+    packs = int(volume // 250_000) + 1  # about 2 MB of sets each
     # a row per large family only: at most rows / block, so the join keeps its large side in place
     big = (classes.groupBy("family").agg(F.count(F.lit(1)).alias("family_size"))
            .filter(F.col("family_size") > block).checkpoint())
