@@ -253,6 +253,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, block: i
     linked = found.join(named, "root").select(F.col("node").alias("cid"), "component_id")
     alone = classes.select("cid", "rep")
     label = alone.join(linked, "cid", "left").select("cid", F.coalesce("component_id", "rep").alias("component_id"))
+    label = label.checkpoint()  # a plain table, so that the join below can split a class of very many copies
     out = signed.select("doc_id", F.col("n").alias("n_shingles"), "cid", *["text_key"] * carry_key).join(label, "cid", "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
