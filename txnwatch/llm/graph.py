@@ -15,7 +15,8 @@ def _state(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m"))
-    low = low.select("u", F.least("u", "m").alias("m"))
+    # written first: the join then has a plain table on each side and can split a hub's edges
+    low = low.select("u", F.least("u", "m").alias("m")).checkpoint()
     return (both.filter(F.col("v") > F.col("u")).join(low, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
 
