@@ -104,29 +104,29 @@ class Graph:
         chosen = self._diverse(cand, sim, DEGREE)
         links = self.links[k]
         links[nodes, :DEGREE] = chosen
-        src = np.repeat(nodes, DEGREE)
-        dst = chosen.ravel()
-        ok = dst >= 0
-        src, dst = src[ok], dst[ok]
-        order = np.argsort(dst, kind="stable")
+        src, dst = np.repeat(nodes, DEGREE), chosen.ravel()
+        src, dst = src[dst >= 0], dst[dst >= 0]
+        near = np.einsum("pd,pd->p", self.unit[src], self.unit[dst])
+        order = np.lexsort((-near, dst))
         src, dst = src[order], dst[order]
-        for d, a, b in zip(*self._runs(dst)):
-            old = links[d]
-            both = np.unique(np.concatenate([old[old >= 0], src[a:b]]))
-            if len(both) > 2 * DEGREE:
-                s = self.unit[both] @ self.unit[d]
-                o = np.argsort(-s, kind="stable")
-                both = self._diverse(both[o][None, :], s[o][None, :], 2 * DEGREE)[0]
-                both = both[both >= 0]
-            links[d] = -1
-            links[d, :len(both)] = both
-
-    @staticmethod
-    def _runs(v: np.ndarray) -> tuple[list, list, list]:
-        if not len(v):
-            return [], [], []
-        first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
-        return v[first].tolist(), first.tolist(), np.append(first[1:], len(v)).tolist()
+        first = np.flatnonzero(np.concatenate([[True], dst[1:] != dst[:-1]])) if len(dst) else np.zeros(0, int)
+        place = np.arange(len(dst)) - np.repeat(first, np.diff(np.append(first, len(dst))))
+        back = place < 2 * DEGREE  # a node gets its nearest new neighbours
+        to = dst[first]
+        new = np.full((len(to), 2 * DEGREE), -1, links.dtype)
+        new[np.searchsorted(to, dst[back]), place[back]] = src[back]
+        old = links[to]
+        new[(new[:, :, None] == old[:, None, :]).any(2)] = -1
+        both = np.concatenate([old, new], 1)
+        sim = np.where(both >= 0, np.einsum("qcd,qd->qc", self.unit[np.maximum(both, 0)], self.unit[to]), -2)
+        by = np.argsort(-sim, axis=1, kind="stable")
+        both, sim = np.take_along_axis(both, by, 1), np.take_along_axis(sim, by, 1)
+        links[to] = both[:, :2 * DEGREE]
+        many = np.flatnonzero(both[:, 2 * DEGREE] >= 0) if both.shape[1] > 2 * DEGREE else np.zeros(0, int)
+        for at in range(0, len(many), _QUERIES):
+            part = many[at:at + _QUERIES]
+            width = int((both[part] >= 0).sum(1).max())
+            links[to[part]] = self._diverse(both[part, :width], sim[part, :width], 2 * DEGREE)
 
     def _diverse(self, cand: np.ndarray, sim: np.ndarray, degree: int) -> np.ndarray:
         """Of candidates sorted by similarity, those closer to the node than to a chosen
