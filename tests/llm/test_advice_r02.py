@@ -73,3 +73,15 @@ def test_shards_grow_with_tokens_of_few_long_rows(spark):
     df = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(3000))) for i in range(3)], "doc_id long, text string")
     trie = ngram_trie.train(spark, df, tokens_per_shard=500)
     assert trie.pairs.n_shards >= 9 and max(np.diff(trie.pairs.first)) < 1000
+
+
+def test_registered_scores_use_two_words_of_context(spark, tmp_path, hot_texts):
+    from txnwatch.llm import queries
+    rows = [(i, " ".join(w)) for i, w in enumerate(hot_texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = by_row(queries.op4_ngram_trie_scores(spark, str(tmp_path)), "doc_id", "held_out", "score")
+    learned = [hot_texts[i] for i, out, _ in got if not out]
+    assert 0 < len(learned) < len(got)
+    want = dict(enumerate(trie_brute(learned, hot_texts, 3)))
+    for i, _, score in got:
+        assert abs(score - want[i]) <= 9e-4 * (len(hot_texts[i]) + 1)

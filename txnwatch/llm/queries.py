@@ -26,7 +26,7 @@ def op3_hnsw_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_trie.language_scores(spark, _table(spark, sf_dir, "documents"))
+    return ngram_trie.language_scores(spark, _table(spark, sf_dir, "documents"), order=3)
 
 
 def op5_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
