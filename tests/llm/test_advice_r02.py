@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from txnwatch.llm import ngram_trie
+from txnwatch.llm import license_automata, ngram_trie
 
 from .conftest import by_row
 
@@ -85,3 +85,46 @@ def test_registered_scores_use_two_words_of_context(spark, tmp_path, hot_texts):
     want = dict(enumerate(trie_brute(learned, hot_texts, 3)))
     for i, _, score in got:
         assert abs(score - want[i]) <= 9e-4 * (len(hot_texts[i]) + 1)
+
+
+# --- 5: licenses -----------------------------------------------------------------------
+
+FSF = "as published by the Free Software Foundation; either version %s of the License, or (at your option) any later version."
+NOTICES = [
+    ('Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated '
+     'documentation files (the "Software"), to deal in the Software without restriction, including', "mit"),
+    ("The MIT License (MIT)\n\nCopyright (c) 2020 A. Person", "mit"),
+    ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file', "apache-2"),
+    ("under the Apache Software License 2.0", "apache-2"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"),
+    ("licensed under the Creative Commons Attribution 3.0 United States License", "cc-by"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "cc-by-nc"),
+    ("Creative Commons Attribution Non-Commercial 3.0 Unported License", "cc-by-nc"),
+    ("licensed under a Creative Commons Attribution-Share Alike 3.0 Unported License", "cc-by-sa"),
+    ("licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+    ("licensed under a Creative Commons Attribution-NoDerivs 3.0 Unported License", "cc-by-nd"),
+    ("a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "cc-by-nc-sa"),
+    ("a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License", "cc-by-nc-nd"),
+    ("CC BY-SA 4.0", "cc-by-sa"), ("CC BY 4.0", "cc-by"), ("CC0 1.0 Universal", "cc0"),
+    ("To the extent possible under law, A. Person has waived all copyright and related or neighboring rights to this", "cc0"),
+    ("under the terms of the GNU General Public License " + FSF % 2, "gpl-2"),
+    ("under the terms of the GNU General Public License " + FSF % 3, "gpl-3"),
+    ("under version 2 of the GNU General Public License", "gpl-2"),
+    ("under the terms of the GNU Lesser General Public License " + FSF % "2.1", "lgpl"),
+    ("under the terms of the GNU Library General Public License " + FSF % 2, "lgpl"),
+    ("under the terms of the GNU Affero General Public License " + FSF % 3, ""),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+     "following conditions are met:", "bsd"),
+    ('under the BSD 3-Clause "New" or "Revised" License', "bsd"),
+    ("subject to the terms of the Mozilla Public License, v. 2.0. If a copy", "mpl-2"),
+    ("Mozilla Public License, version 1.1", ""),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("All rights reserved. No part of this book or any portion thereof may be reproduced", "proprietary"),
+    ("Apache License, Version 1.1", ""), ("give Creative Commons attribution where due", ""), ("All rights reserved.", ""),
+]
+
+
+def test_each_notice_has_its_label_and_no_neighbours(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(NOTICES)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_automata.scan_licenses(df).collect()}
+    assert [(t, got[i]) for i, (t, _) in enumerate(NOTICES)] == NOTICES

@@ -4,7 +4,9 @@ A template is license wording with markup: ``<<beginOptional>> .. <<endOptional>
 around words that may be missing (may nest), ``<<var;max=N>>`` for a replaceable
 region of at most N words.  It is compiled into a token automaton; a text is
 accepted where all mandatory wording stands exactly, in order, with optional words
-present or not and replaceable regions filled by anything.
+present or not and replaceable regions filled by anything.  Of the templates accepted
+from one place only the longest names the text, so a license whose name begins like a
+neighbour's is not taken for it; base phrases count as they stand.
 
 Words are found and mapped to template symbols in vectorised form; only texts that
 contain every mandatory word of a template run its automaton, from the places where
@@ -30,32 +32,79 @@ from txnwatch.llm.text import PUNCT, word_hashes, word_tables
 #: Base phrases, matched as they stand.
 BASE = (("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc"))
 
+_VERSIONS = ("4 0", "3 0", "2 5", "2 1", "2 0", "1 0")
+_NC = ("noncommercial", "non commercial")
+_SA = ("sharealike", "share alike")
+_ND = ("noderivatives", "no derivatives", "noderivs", "no derivs", "noderivative", "no derivative")
+_ANY_VERSION = " ".join(f"<<beginOptional>>{v}<<endOptional>>" for v in _VERSIONS)
+_PORT = "<<beginOptional>><<var;max=3>> license<<endOptional>>"
+
+
+def _creative_commons() -> list[tuple[str, str]]:
+    """The six licenses, by name (in all spellings) and abbreviated.  A region stands behind
+    a version only, so that it cannot hold the name of a neighbour."""
+    name = "creative commons attribution"
+    out = [("cc-by", f"{name} {v} {_PORT}") for v in _VERSIONS]
+    out += [("cc-by", f"{name} <<beginOptional>>international<<endOptional>> <<beginOptional>>unported<<endOptional>> "
+                      f"<<beginOptional>>generic<<endOptional>> <<beginOptional>>public<<endOptional>> {w}")
+            for w in ("license", "licence")]
+    parts = {"cc-by-nc": _NC, "cc-by-sa": _SA, "cc-by-nd": _ND,
+             "cc-by-nc-sa": [f"{a} {b}" for a in _NC for b in _SA],
+             "cc-by-nc-nd": [x for a in _NC for b in _ND for x in (f"{a} {b}", f"{b} {a}")]}
+    out += [(label, f"{name} {w} {_ANY_VERSION}") for label, spelled in parts.items() for w in spelled]
+    for cc in ("cc", "creative commons"):
+        out += [("cc-by", f"{cc} by {v}") for v in _VERSIONS]
+        out += [(label, f"{cc} {label[3:].replace('-', ' ')} {_ANY_VERSION}") for label in parts]
+    return out
+
+
+def _gnu(label: str, name: str, short: str, versions: dict[str, tuple[str, ...]], region: str) -> list[tuple[str, str]]:
+    """A GNU license by its notice, by "version n of" it, and by its short names."""
+    out = []
+    for v, glued in versions.items():
+        out += [(label, f"gnu {name} {region} version {v}"), (label, f"version {v} of the gnu {name}"),
+                (label, f"gnu {name} <<beginOptional>>{short}<<endOptional>> <<beginOptional>>v<<endOptional>> {v}"),
+                (label, f"{short} <<beginOptional>>version<<endOptional>> <<beginOptional>>v<<endOptional>> {v}")]
+        out += [(label, f"gnu {name} {g}") for g in glued] + [(label, f"{short} {g}") for g in glued]
+        out += [(label, f"{short}{g}") for g in (v, *glued)]
+    return out
+
+
+_FSF = ("<<beginOptional>>as published by the free software foundation<<endOptional>> <<beginOptional>>either<<endOptional>>")
+
 #: Wording of common public licenses and notices, with the parts that vary marked up.
 TEMPLATES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of <<var;max=12>> "
             "to deal in the software without restriction"),
     ("mit", "<<beginOptional>>released<<endOptional>> under the <<beginOptional>>terms of the<<endOptional>> "
             "mit <<beginOptional>>open source<<endOptional>> license"),
-    ("apache-2", "licensed under the apache license <<beginOptional>>version<<endOptional>> 2 0"),
-    ("cc-by-nc", "cc by nc <<beginOptional>>4 0<<endOptional>>"),
-    ("cc-by-nc", "creative commons attribution <<beginOptional>>non<<endOptional>> noncommercial"),
-    ("cc-by", "licensed under <<beginOptional>>a<<endOptional>> creative commons attribution <<var;max=2>> license"),
-    ("cc-by-sa", "cc by sa <<beginOptional>>4 0<<endOptional>>"),
-    ("cc-by-sa", "creative commons attribution <<beginOptional>>share alike<<endOptional>> sharealike"),
+    ("mit", "mit license <<beginOptional>>mit<<endOptional>> copyright"),
+    ("apache-2", "<<beginOptional>>licensed under the<<endOptional>> apache <<beginOptional>>software<<endOptional>> license "
+                 "<<beginOptional>>version<<endOptional>> <<beginOptional>>v<<endOptional>> 2 0"),
+    ("apache-2", "apache <<beginOptional>>software<<endOptional>> license v2"),
+    ("apache-2", "apache 2 0 license"),
+    *_creative_commons(),
     ("cc0", "cc0 <<beginOptional>>1 0<<endOptional>> universal"),
-    ("gpl-2", "gnu general public license <<beginOptional>>as published by the free software foundation"
-              "<<endOptional>> <<beginOptional>>either<<endOptional>> version 2"),
-    ("gpl-3", "gnu general public license <<beginOptional>>as published by the free software foundation"
-              "<<endOptional>> <<beginOptional>>either<<endOptional>> version 3"),
-    ("lgpl", "gnu <<beginOptional>>lesser<<endOptional>> <<beginOptional>>library<<endOptional>> "
-             "lesser general public license <<var;max=3>> version"),
+    ("cc0", "creative commons <<beginOptional>>cc0<<endOptional>> zero"),
+    ("cc0", "to the extent possible under law <<var;max=16>> waived all copyright and related or neighboring rights"),
+    *_gnu("gpl-2", "general public license", "gpl", {"2": ("v2",)}, _FSF),
+    *_gnu("gpl-3", "general public license", "gpl", {"3": ("v3",)}, _FSF),
+    *(t for name in ("lesser general public license", "library general public license",
+                     "library or lesser general public license")
+      for t in _gnu("lgpl", name, "lgpl", {"2": ("v2",), "3": ("v3",)}, "<<var;max=12>>")),
+    ("lgpl", "gnu lesser general public license <<var;max=12>> version"),
+    ("lgpl", "gnu library general public license <<var;max=12>> version"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted "
             "<<beginOptional>>subject to the limitations in the disclaimer below<<endOptional>> "
             "provided that the following conditions are met"),
-    ("bsd", "under the <<beginOptional>>terms of the<<endOptional>> bsd <<var;max=3>> license"),
+    ("bsd", "under <<beginOptional>>the<<endOptional>> <<beginOptional>>a<<endOptional>> <<beginOptional>>terms of the<<endOptional>> "
+            "<<beginOptional>>new<<endOptional>> <<beginOptional>>modified<<endOptional>> <<beginOptional>>revised<<endOptional>> "
+            "<<beginOptional>>simplified<<endOptional>> <<beginOptional>><<var;max=1>> clause<<endOptional>> bsd <<var;max=6>> license"),
     ("mpl-2", "mozilla public license <<beginOptional>>version<<endOptional>> <<beginOptional>>v<<endOptional>> 2 0"),
+    ("mpl-2", "mozilla public license v2"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
-    ("proprietary", "all rights reserved <<var;max=8>> no part of this <<var;max=4>> may be reproduced"),
+    ("proprietary", "all rights reserved <<var;max=8>> no part of this <<var;max=10>> may be "
+                    "<<beginOptional>>used or<<endOptional>> <<beginOptional>>copied or<<endOptional>> reproduced"),
 )
 
 
@@ -159,6 +208,7 @@ class Scanner:
         out = [{"n_words": n, "places": [], "labels": set(), "score": 0.0} for n in table.counts.tolist()]
         bounds = np.searchsorted(doc, np.arange(table.n_docs + 1))
         lists: dict[int, list] = {}
+        longest: dict[tuple[int, int], tuple[int, set, float]] = {}  # (text, place): words, labels, score
         for a, need, begin in zip(self.automata, self.need, self.begin):
             for d in np.flatnonzero(seen[:, need].all(axis=1)).tolist():
                 own = slice(bounds[d], bounds[d + 1])
@@ -171,11 +221,21 @@ class Scanner:
                 for p in at[own][np.isin(sym[own], begin)].tolist():
                     n = a.match(lists[d], p - base)
                     if n:
-                        out[d]["labels"].add((a.base, a.label))
+                        m = len(a.mandatory)
+                        score = m / (m + 1) * min(1.0, m / n)
                         if a.base:
+                            out[d]["labels"].add((True, a.label))
                             out[d]["places"].append(p - base)
-                        m = len(a.mandatory)
-                        out[d]["score"] = max(out[d]["score"], m / (m + 1) * min(1.0, m / n))
+                            out[d]["score"] = max(out[d]["score"], score)
+                            continue
+                        best = longest.get((d, p), (0, set(), 0.0))
+                        if n > best[0]:
+                            longest[d, p] = (n, {a.label}, score)
+                        elif n == best[0]:
+                            longest[d, p] = (n, best[1] | {a.label}, max(best[2], score))
+        for (d, _), (_, labels, score) in longest.items():
+            out[d]["labels"] |= {(False, label) for label in labels}
+            out[d]["score"] = max(out[d]["score"], score)
         return out
 
 
