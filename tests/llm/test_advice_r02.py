@@ -6,9 +6,10 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from txnwatch.llm import license_automata, ngram_trie
+from txnwatch.llm import license_automata, minhash, ngram_trie
 
 from .conftest import by_row
+from .test_text_operators import near_brute
 
 
 # --- 4: language model ----------------------------------------------------------------
@@ -128,3 +129,33 @@ def test_each_notice_has_its_label_and_no_neighbours(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(NOTICES)], "doc_id long, text string")
     got = {r.doc_id: r.labels for r in license_automata.scan_licenses(df).collect()}
     assert [(t, got[i]) for i, (t, _) in enumerate(NOTICES)] == NOTICES
+
+
+# --- 2: near duplicates ------------------------------------------------------------------
+
+def test_families_of_long_texts_are_cut_by_volume(spark):
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(40):
+        t = list(base)
+        for j in rng.choice(400, int(rng.integers(0, 25)), replace=False):
+            t[j] = f"v{rng.integers(10000)}"
+        rows.append((i, " ".join(t)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = by_row(minhash.near_duplicates(df, 3, 85, volume=3000), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == near_brute(rows, 3, 85)
+    classes = spark.createDataFrame([(bytes([i]), b"f", 1000) for i in range(60)], "cid binary, family binary, n long")
+    tasks = minhash._tasks(classes, 85, 1024, 10_000).join(classes.select("cid", "n"), "cid")
+    each = [r.v for r in tasks.groupBy("task").agg(F.sum("n").alias("v")).collect()]
+    assert len(each) > 60 and max(each) <= 24_000
+
+
+def test_sets_compared_in_hash_ranges():
+    rng = np.random.default_rng(6)
+    pool = rng.integers(0, 1 << 64, 500, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, 400, replace=False)) for _ in range(12)] + [np.unique(pool)]
+    for left in (0, 5):
+        for percent in (60, 67, 80):
+            assert minhash._linked(sets, percent, left, most=100) == minhash._linked(sets, percent, left, most=1 << 30)

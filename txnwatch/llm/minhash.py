@@ -9,9 +9,11 @@ a band; documents that agree on a band land in a bucket.
 * Buckets give star edges (smallest class, member); their components are
   *families*.  No pairs are listed.
 * Inside a family every pair is compared on full sets.  A family above
-  ``BLOCK`` classes is cut into blocks by set size and hash, and each pair of
-  blocks whose sizes can reach the threshold is a task of its own, which returns
-  a spanning forest of its confirmed links (fewer than 2 * BLOCK rows).
+  ``BLOCK`` classes or ``VOLUME`` shingles is cut into blocks by set size and hash,
+  down to one class a block, and each pair of blocks whose sizes can reach the
+  threshold is a task of its own, which compares ranges of shingle hashes one after
+  another and returns a spanning forest of its confirmed links (fewer than 2 * BLOCK
+  rows).
 * Components of the confirmed links are the result.
 
 A pair at the threshold shares no band with probability (1 - s^4)^24, about
@@ -41,6 +43,9 @@ from txnwatch.llm.text import SPACE, WordTable, mix64, word_tables
 PERMUTATIONS = 48
 BANDS = 24
 BLOCK = 1024
+#: Shingles in a comparison task, about (64 MB of sets), and in one range of hashes.
+VOLUME = 8 << 20
+RANGE = 1 << 20
 #: Tables with a row per family or class in one are broadcast up to this many rows, else joined.
 BROADCAST_ROWS = 1_000_000
 _COLS = 4096
@@ -125,9 +130,8 @@ def _set_rows(words: int):
     return run
 
 
-def _linked(sets: list[np.ndarray], percent: int, left: int) -> list[tuple[int, int]]:
-    """Spanning forest of the pairs (i < j) with 100 * common >= percent * union;
-    only pairs across ``left`` if it splits the list, else all."""
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs."""
     m = len(sets)
     sizes = np.array([len(s) for s in sets])
     value, inv, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -143,7 +147,20 @@ def _linked(sets: list[np.ndarray], percent: int, left: int) -> list[tuple[int,
         x = np.zeros((m, min(_COLS, n_cols - c)), np.float32)
         x[owner[i:j], col[i:j] - c] = 1
         common += x @ x.T
-    inter = common.astype(np.int64)
+    return common.astype(np.int64)
+
+
+def _linked(sets: list[np.ndarray], percent: int, left: int, most: int = RANGE) -> list[tuple[int, int]]:
+    """Spanning forest of the pairs (i < j) with 100 * common >= percent * union;
+    only pairs across ``left`` if it splits the list, else all."""
+    m = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    n_ranges = max(1, -(-int(sizes.sum()) // most))
+    edges = np.array([(r << 64) // n_ranges for r in range(1, n_ranges)], np.uint64)
+    cuts = [np.concatenate([[0], np.searchsorted(s, edges), [len(s)]]) for s in sets]
+    inter = np.zeros((m, m), np.int64)
+    for r in range(n_ranges):
+        inter += _common([s[c[r]:c[r + 1]] for s, c in zip(sets, cuts)])
     ok = 100 * inter >= percent * (sizes[:, None] + sizes[None, :] - inter)
     ok &= inter > 0
     np.fill_diagonal(ok, False)
@@ -187,24 +204,26 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _tasks(classes: DataFrame, percent: int, block: int) -> DataFrame:
+def _tasks(classes: DataFrame, percent: int, block: int, volume: int = VOLUME) -> DataFrame:
     """(cid, family, task, side): which comparison task gets a class.  Small
     families are packed into tasks by the volume of their sets; a large family
     has a task for each pair of blocks of equal or neighbouring size level.
     Sides 0 and 1 are the blocks of a task that compares two blocks."""
-    volume = classes.agg(F.sum("n")).first()[0] or 0
-    packs = int(volume // 250_000) + 1  # about 2 MB of sets each
-    # a row per large family only: at most rows / block, so the join keeps its large side in place
-    big = (classes.groupBy("family").agg(F.count(F.lit(1)).alias("family_size"))
-           .filter(F.col("family_size") > block).checkpoint())
+    shingles = classes.agg(F.sum("n")).first()[0] or 0
+    packs = int(shingles // 250_000) + 1  # about 2 MB of sets each
+    # a row per large family only, so the join keeps its large side in place
+    big = (classes.groupBy("family").agg(F.count(F.lit(1)).alias("family_size"), F.sum("n").alias("family_volume"))
+           .filter((F.col("family_size") > block) | (F.col("family_volume") > volume))
+           .select("family", "family_size").checkpoint())
     rows = classes.join(_small(big), "family", "left")
     small = (rows.filter("family_size IS NULL")
              .select("cid", "family", F.concat(F.lit("p"), F.pmod(F.xxhash64("family"), F.lit(packs))).alias("task"),
                      F.lit(0).alias("side")))
     level = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int")
-    large = rows.filter("family_size IS NOT NULL").select("cid", "family", level.alias("level"))
-    cuts = (large.groupBy("family", "level").agg(F.count(F.lit(1)).alias("k"))
-            .select("family", "level", F.ceil(F.col("k") / (block // 2)).cast("int").alias("parts")).checkpoint())
+    large = rows.filter("family_size IS NOT NULL").select("cid", "family", "n", level.alias("level"))
+    parts = F.greatest(F.ceil(F.col("k") / (block // 2)), F.least("k", F.ceil(F.col("v") / (volume // 2))))
+    cuts = (large.groupBy("family", "level").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("v"))
+            .select("family", "level", parts.cast("int").alias("parts")).checkpoint())
     own = cuts.select("family", "level", "parts")
     near = cuts.select("family", F.col("level").alias("low"), F.col("parts").alias("low_parts"))
     pairs = (own.join(near, "family")
@@ -225,7 +244,7 @@ def _tasks(classes: DataFrame, percent: int, block: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, block: int = BLOCK,
-                    carry_key: bool = False) -> DataFrame:
+                    carry_key: bool = False, volume: int = VOLUME) -> DataFrame:
     """doc_id, n_shingles, cid, component_id, kept: one row per row of ``docs``;
     with ``carry_key`` also text_key, the xxhash64 of the text."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -245,7 +264,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, block: i
     chosen = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.doc_id), "left_semi")
     sets = chosen.mapInArrow(_set_rows(words), "cid binary, members binary")
     sets = sets.join(families.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
-    links = (_tasks(families, percent, block).join(sets, "cid").groupBy("task")
+    links = (_tasks(families, percent, block, volume).join(sets, "cid").groupBy("task")
              .applyInArrow(_compare(percent), "u binary, v binary"))
     found = components(links)
     named = (found.join(families.select("cid", "rep"), found.node == F.col("cid"))
