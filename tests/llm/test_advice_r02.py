@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from txnwatch.llm import license_automata, minhash, ngram_trie
+from txnwatch.llm import license_automata, minhash, mixing, ngram_trie
 
 from .conftest import by_row
 from .test_text_operators import near_brute
@@ -159,3 +159,19 @@ def test_sets_compared_in_hash_ranges():
     for left in (0, 5):
         for percent in (60, 67, 80):
             assert minhash._linked(sets, percent, left, most=100) == minhash._linked(sets, percent, left, most=1 << 30)
+
+
+# --- 8: mixing ---------------------------------------------------------------------------
+
+@pytest.mark.parametrize("ratio", [3.0, 1.0, 1 - 1e-16, 3 - 4e-16, 0.0, 0.4])
+def test_sources_taken_whole_spread_over_buckets(spark, ratio):
+    from pyspark.sql import functions as F
+    rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit(0).cast("long").alias("text_key"),
+                                    F.lit(10).cast("long").alias("size"))
+    targets = spark.createDataFrame([("a", 20000, 20000 * ratio)], "source string, source_size long, target double")
+    ranked = mixing._ranked(rows, targets, 1000, "mix", None)
+    cut = mixing.cutoffs(rows, targets, 1000, "mix").collect()
+    sizes = {r["_bucket"]: r["count"] for r in ranked.groupBy("_bucket").count().collect()}
+    assert len(cut) <= 1 and all(sizes[r.cut_bucket] <= 20 for r in cut)
+    none = mixing._ranked(rows, targets, 1000, "mix", F.lit(0.0)).groupBy("_bucket").count()
+    assert none.agg(F.max("count")).first()[0] <= 20

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_BUCKET = 50_000
+#: Inclusion nearer than this to none or all of a source.
+EXTREME = 1e-6
 #: Tables with a row per source are broadcast up to this many rows, else joined.
 BROADCAST_ROWS = 100_000
 
@@ -67,10 +69,13 @@ def _ranked(rows: DataFrame, targets: DataFrame, buckets: int, seed: str, favour
     out = out.withColumn("_whole", F.floor(ratio)).withColumn("_p", ratio - F.floor(ratio))
     out = out.withColumn("_rest", F.col("target") - F.col("_whole") * F.col("source_size"))
     u = _uniform(seed)
-    odds = F.col("_p") / (1 - F.col("_p")) * (favour if favour is not None else F.lit(1.0))
+    # a source's own odds do not change its order: at (nearly) none or all, buckets follow the uniform number
+    within = F.col("_p").between(EXTREME, 1 - EXTREME)
+    odds = F.when(within, F.col("_p") / (1 - F.col("_p"))).otherwise(1.0) * (favour if favour is not None else F.lit(1.0))
     out = out.withColumn("_u", u).withColumn(
         "_rank", F.when(odds > 0, F.col("_u") / (1 - F.col("_u")) / odds).otherwise(F.col("_u") * 1e300))
-    return out.withColumn("_bucket", F.floor(F.col("_rank") / (1 + F.col("_rank")) * buckets))
+    return out.withColumn("_bucket", F.when(odds > 0, F.floor(F.col("_rank") / (1 + F.col("_rank")) * buckets))
+                          .otherwise(buckets + 1 + F.floor(F.col("_u") * buckets)))
 
 
 def cutoffs(rows: DataFrame, targets: DataFrame, buckets: int, seed: str, favour: Column | None = None) -> DataFrame:
