@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from txnwatch.llm import license_automata, minhash, mixing, ngram_trie
+from txnwatch.llm import license_automata, minhash, mixing, ngram_trie, toxicity
 
 from .conftest import by_row
 from .test_text_operators import near_brute
@@ -175,3 +175,16 @@ def test_sources_taken_whole_spread_over_buckets(spark, ratio):
     assert len(cut) <= 1 and all(sizes[r.cut_bucket] <= 20 for r in cut)
     none = mixing._ranked(rows, targets, 1000, "mix", F.lit(0.0)).groupBy("_bucket").count()
     assert none.agg(F.max("count")).first()[0] <= 20
+
+
+# --- 10: toxicity ------------------------------------------------------------------------
+
+def test_training_rows_of_a_repeated_id_are_one(spark):
+    docs = spark.createDataFrame([(1, "same"), (1, "same"), (1, "other"), (1, None)] * 50 + [(i, f"t{i}") for i in range(2, 30)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 30)], "doc_id long, toxic int")
+    for most in (10_000, 3):
+        rows = toxicity.training_rows(docs, labels, most)
+        learned = [r.y for r in rows.collect()]
+        ids = labels.filter(~toxicity.held_out()).filter("doc_id is not null").count()
+        assert len(learned) == min(ids, len(learned)) <= 2 * most and max(learned.count(0), learned.count(1)) <= most

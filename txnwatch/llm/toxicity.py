@@ -96,7 +96,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFram
         known.filter("y = 0").orderBy(*order).limit(max_rows))
     picked = picked.select(F.col("doc_id").alias("_id"), "y")
     # at most 2 * max_rows ids
-    return docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("text", "y")
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
+    # repeats of an id are one row, the text of smallest hash
+    one = rows.groupBy("_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first"))
+    return one.select(F.col("first.text").alias("text"), "y")
 
 
 def _identity() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -195,7 +198,7 @@ def _fit(row: np.ndarray, col: np.ndarray, y: np.ndarray, sample_weight: np.ndar
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, vocabulary: int = 4096,
         l1: float = 3e-4, penalty: float = 1.0, steps: int = 400) -> ToxicityModel:
     spark = docs.sparkSession
-    train = training_rows(docs, labels, max_rows)
+    train = training_rows(docs, labels, max_rows).checkpoint()  # read several times
     counts = (train.mapInArrow(_word_counts, "word long, n long, n_toxic long, n_swaps long")
               .groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("p"), F.sum("n_swaps").alias("s")))
     terms, group, _ = _identity()
