@@ -16,7 +16,10 @@ COLUMNS = {
     "op5": "doc_id n_words n_base first_word last_word base_labels labels score",
     "op6": "doc_id n_lines n_dropped kept_sha256", "op7": "page_id host path rule verdict",
     "op8": "doc_id size source_size target taken",
-    "op9": "doc_id n_words n_hit n_items items_sha256 contaminated", "op10": "doc_id held_out score predicted"}
+    "op9": "doc_id n_words n_hit n_items items_sha256 contaminated", "op10": "doc_id held_out score predicted",
+    "op11": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+    "op12": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op13": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept"}
 
 
 def test_one_query_for_each_operator():

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import fm_index, hnsw, license_automata, line_dedup, minhash, mixing, ngram_trie, pii, toxicity, url_templates
+from txnwatch.llm import (conversations, fim, fm_index, hnsw, license_automata, line_dedup, minhash, mixing, ngram_trie,
+                          pii, quality, toxicity, url_templates)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,9 +64,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"), seed=42)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fim.restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(_table(spark, sf_dir, "conversations"), damage=True)
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.judge(docs, model).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                             "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_personal_data, op2_minhash_near_dedup, op3_hnsw_near_dedup, op4_ngram_trie_scores,
     op5_license_templates, op6_line_dedup, op7_url_templates, op8_source_mixing, op9_benchmark_decontamination, op10_toxicity,
+    op11_fill_in_middle, op12_conversation_repair, op13_quality_rules,
 )}
 
 ORACLE: dict[str, str] = {
@@ -210,4 +229,106 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        n_hit IS NOT NULL AS contaminated
 FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
-}
\ No newline at end of file
+    "op11_fill_in_middle": r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS toks
+  FROM documents
+), drawn AS (
+  SELECT *, len(toks) AS n, ('0x' || h[1:8])::BIGINT % (len(toks) + 1) AS c1, ('0x' || h[9:16])::BIGINT % (len(toks) + 1) AS c2,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+), parts AS (
+  SELECT *, array_to_string(toks[1:least(c1, c2)], '') AS p,
+         array_to_string(toks[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+         array_to_string(toks[greatest(c1, c2) + 1:], '') AS s
+  FROM drawn
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts""",
+    "op12_conversation_repair": r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         (coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')) AS k
+  FROM conversations
+), summed AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(k, ''),
+                  lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT)
+                                  ELSE c >> 1 END), 4294967295::BIGINT) % 20 AS kind
+  FROM keyed
+), hurt AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM summed WHERE kind <> 0
+), ordered AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS rn
+  FROM hurt
+), rows_ AS (
+  SELECT *, role[1:1] AS r, lag(role[1:1]) OVER (PARTITION BY c ORDER BY rn) AS pr,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY rn) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' END AS fault
+  FROM ordered
+), walk AS (
+  SELECT DISTINCT c, 0::BIGINT AS rn, {'c': 0, 't': ''} AS z, {'c': 1000000000, 't': ''} AS s,
+         {'c': 3, 't': 'I'} AS u, {'c': 6, 't': 'II'} AS a
+  FROM rows_
+  UNION ALL
+  SELECT c, rn, z, s, list_min([u, {'c': z.c + 3, 't': z.t || 'I'}, {'c': s.c + 3, 't': s.t || 'I'},
+                                {'c': a.c + 3, 't': a.t || 'I'}]) AS u,
+         list_min([a, {'c': u.c + 3, 't': u.t || 'I'}, {'c': z.c + 6, 't': z.t || 'II'},
+                   {'c': s.c + 6, 't': s.t || 'II'}]) AS a
+  FROM (
+    SELECT w.c, x.rn, {'c': w.z.c + 4, 't': w.z.t || 'D'} AS z,
+           list_min([{'c': w.s.c + 4, 't': w.s.t || 'D'}] || CASE WHEN x.must OR x.r <> 's' THEN [] ELSE
+                    [{'c': w.z.c + x.late, 't': w.z.t || 'K'}] END) AS s,
+           list_min([{'c': w.u.c + 4, 't': w.u.t || 'D'}] || CASE WHEN x.must THEN [] WHEN x.r = 'u' THEN
+                    [{'c': w.z.c + x.late, 't': w.z.t || 'K'}, {'c': w.s.c + x.late, 't': w.s.t || 'K'},
+                     {'c': w.a.c + x.late, 't': w.a.t || 'K'}] ELSE
+                    [{'c': w.z.c + x.late + 3, 't': w.z.t || 'R'}, {'c': w.s.c + x.late + 3, 't': w.s.t || 'R'},
+                     {'c': w.a.c + x.late + 3, 't': w.a.t || 'R'}] END) AS u,
+           list_min([{'c': w.a.c + 4, 't': w.a.t || 'D'}] || CASE WHEN x.must THEN [] WHEN x.r = 'a' THEN
+                    [{'c': w.u.c + x.late, 't': w.u.t || 'K'}] ELSE
+                    [{'c': w.u.c + x.late + 3, 't': w.u.t || 'R'}] END) AS a
+    FROM walk w JOIN (SELECT c, rn, r, coalesce(fault IN ('blank', 'duplicate'), false) AS must,
+                             CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS late FROM rows_) x
+         ON w.c = x.c AND x.rn = w.rn + 1)
+), best AS (
+  SELECT c, list_min([z, a]) AS b FROM walk QUALIFY rn = max(rn) OVER (PARTITION BY c)
+), edits AS (
+  SELECT c, unnest(string_split(b.t, '')) AS e, generate_subscripts(string_split(b.t, ''), 1) AS i FROM best WHERE b.t <> ''
+), placed AS (
+  SELECT c, e, i, count(*) FILTER (WHERE e <> 'I') OVER w AS rn, count(*) FILTER (WHERE e <> 'D') OVER w AS j
+  FROM edits WINDOW w AS (PARTITION BY c ORDER BY i)
+), written AS (
+  SELECT p.c, p.e, p.i, p.j, CASE WHEN p.e <> 'I' THEN x.role END AS role, CASE WHEN p.e = 'I' THEN '' ELSE x.text END AS text
+  FROM placed p LEFT JOIN rows_ x ON p.c = x.c AND p.rn = x.rn WHERE p.e <> 'D'
+), shifted AS (
+  SELECT *, j - (first_value(e = 'K' AND role[1:1] = 's') OVER (PARTITION BY c ORDER BY i))::INT AS k FROM written
+), texts AS (
+  SELECT c, string_agg(CASE WHEN e = 'K' THEN role WHEN k % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+                       chr(10) ORDER BY i) AS t
+  FROM shifted GROUP BY c
+), counted AS (
+  SELECT conv_id, c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE pr IS NOT NULL AND pr || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows_ GROUP BY conv_id, c
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.c, 0)::BIGINT AS cost, coalesce(b.t, '') AS audit,
+       sha256(coalesce(t.t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted n ON o.conv_id IS NOT DISTINCT FROM n.conv_id LEFT JOIN best USING (c) LEFT JOIN texts t USING (c)""",
+}

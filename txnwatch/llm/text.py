@@ -76,6 +76,20 @@ def _hash_long(data: np.ndarray, step: int) -> np.uint64:
     return np.uint64(total % (1 << 64))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int = 1 << 18) -> np.ndarray:
+    """64-bit hashes of byte spans in ascending order (a span may be empty or of any length)."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(out):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + step, side="right")))
+        if ends[i] - starts[i] > step:
+            out[i], j = _hash_long(data[starts[i]:ends[i]], step), i + 1
+        else:
+            out[i:j] = _hash_range(data, starts[i:j], ends[i:j])
+        i = j
+    return mix64(out + (ends - starts).astype(np.uint64) * _MUL)
+
+
 class WordTable:
     """Words of consecutive texts: byte spans, 64-bit hashes and the text of each."""
 
