@@ -16,6 +16,7 @@ def spark():
     from txnwatch.session import local_session
     s = local_session(cores="*", shuffle_partitions=8,
                       scratch=tempfile.mkdtemp(prefix="txnwatch-test-ck-", dir="/tmp"))
+    s.sparkContext.environment["PYTHONPATH"] = ROOT  # Python workers find the package where the tests do
     yield s
     s.stop()
 

@@ -69,27 +69,6 @@ def test_corrupt_stream_lines(spark):
     assert d[2]["_corrupt_record"] is not None
 
 
-def test_stream_with_compaction_equals_batch(spark):
-    """K4 over 4 micro-batches with a full state snapshot after every batch
-    equals the batch features (state deltas + compaction keep the history)."""
-    import math
-    from txnwatch.sources.files import scratch_path
-    from txnwatch.streaming.scoring import stream_score
-    t = txn(spark, SF_SMALL)
-    msgs = rp.encode_transactions(t).checkpoint()
-    n = msgs.count()
-    src = scratch_path(spark, "topic")
-    rp.replay_sink(msgs, src, chunk_rows=math.ceil(n / 4))
-    out = scratch_path(spark, "stream-out")
-    q = stream_score(spark, src, out, checkpoint=scratch_path(spark, "ck"), compact_every=1)
-    q.awaitTermination()
-    cols = ["sender_prev_tx_count", "receiver_prev_tx_count", "pair_prev_count", "sender_unique_counterparties",
-            "receiver_unique_counterparties", "sender_minutes_since_last", "receiver_minutes_since_last"]
-    got = sorted(map(tuple, spark.read.parquet(out + "/features").select("seq", *cols).collect()))
-    batch = with_ordinal(history.causal_features(t), ["seq"], "_ri").select(F.col("_ri").alias("seq"), *cols)
-    assert got == sorted(map(tuple, batch.collect()))
-
-
 @pytest.mark.parametrize("frac", [0.25, 0.75])
 def test_snapshot_on_next_row_equals_batch(spark, frac):
     """T3 against the state of all earlier rows, applied to the next row,
@@ -107,43 +86,6 @@ def test_snapshot_on_next_row_equals_batch(spark, frac):
     assert got == want and len(got) == 1
 
 
-def test_small_batch_reads_its_state_buckets_only(spark):
-    """The state read for a batch of few accounts prunes to their bucket folders."""
-    from txnwatch.sources.files import scratch_path
-    from txnwatch.streaming import scoring
-    t = txn(spark, SF_SMALL)
-    out = scratch_path(spark, "state")
-    scoring.write_state(spark, out, 0, state.account_state(t), state.pair_state(t))
-    few = t.select(F.col("from_account").alias("account")).distinct().orderBy("account").limit(3)
-    pairs = t.select("from_account", "to_account").join(few.withColumnRenamed("account", "from_account"), "from_account").distinct()
-    acct, _ = scoring.read_state(spark, out, 1, None, few, pairs)
-    plan = acct._jdf.queryExecution().executedPlan().toString()
-    used = few.select(scoring.bucket().alias("b")).distinct().collect()
-    assert "PartitionFilters" in plan and all(str(r["b"]) in plan for r in used) and len(used) <= 3
-    scans = [f for f in acct.inputFiles() if "/v=0/account/" in f]
-    assert {int(re.search(r"bucket=(\d+)", f)[1]) for f in scans} >= {r["b"] for r in used}
-    want = state.account_state(t).join(few, "account", "left_semi").select("account", "sent_count")
-    assert sorted(map(tuple, acct.select("account", "sent_count").collect())) == sorted(map(tuple, want.collect()))
-
-
-def test_frozen_state_stream(spark):
-    """With update_state=False all micro-batches see the initial state only."""
-    import math
-    from txnwatch.sources.files import scratch_path
-    from txnwatch.streaming.scoring import stream_score
-    t = txn(spark, SF_SMALL)
-    first, rest = t.where("seq < 600"), t.where("seq >= 600")
-    initial = state.account_state(first).checkpoint(), state.pair_state(first).checkpoint()
-    msgs = rp.encode_transactions(rest).checkpoint()
-    src, out = scratch_path(spark, "topic"), scratch_path(spark, "stream-out")
-    rp.replay_sink(msgs, src, chunk_rows=math.ceil(msgs.count() / 2))
-    stream_score(spark, src, out, initial_state=initial, update_state=False, checkpoint=scratch_path(spark, "ck")).awaitTermination()
-    cols = ["sender_prev_tx_count", "receiver_prev_tx_count", "pair_prev_count"]
-    got = sorted(map(tuple, spark.read.parquet(out + "/features").select("seq", *cols).collect()))
-    want = with_ordinal(history.snapshot_features(rest, *initial), ["seq"], "_ri").select(F.col("_ri").alias("seq"), *cols)
-    assert got == sorted(map(tuple, want.collect()))
-
-
 def test_file_order_over_files_and_splits(spark):
     """seq is unique and in file order for CSV files of several splits and for Parquet."""
     from txnwatch.sources.files import scan_csv, scan_parquet, scratch_path
@@ -175,12 +117,3 @@ def test_reports_and_limits(spark):
     for call in (lambda: recent_alerts(table, 501), lambda: load_alerts(table, 0), lambda: load_alerts(table, 50_001)):
         with pytest.raises(ValueError):
             call()
-
-
-def test_paced_replay_waits(spark):
-    import time
-    from txnwatch.sources.files import scratch_path
-    msgs = rp.encode_transactions(txn(spark, SF_SMALL).limit(40)).checkpoint()
-    t0 = time.monotonic()
-    assert rp.replay_sink(msgs, scratch_path(spark, "paced"), events_per_second=20.0) == 2
-    assert time.monotonic() - t0 >= 1.0

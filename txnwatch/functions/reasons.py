@@ -32,14 +32,17 @@ def reason_codes(score: str = "risk_score") -> Column:
     return F.slice(codes, 1, MAX_REASONS)
 
 
-def alert_id(decision: Column, model_version: Column, fields: list[str] | None = None) -> Column:
-    """Deterministic 'ALT-' + 16 hex digits for alerts, null otherwise.
-
-    Hashes the model version and every request field, so a replayed request
-    gets the same id (and can be deduplicated) while two requests that only
-    share a transaction id do not collide.
-    """
+def alert_digest(model_version: Column, fields: list[str] | None = None) -> Column:
+    """Digest (64 hex digits) of the model version and every request field: the key of an
+    alert.  A replayed request gets the same one, and two requests that only share a
+    transaction id do not."""
     fields = fields or REQUEST_FIELDS
     parts = [model_version.cast("string")] + [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]
-    digest = F.sha2(F.concat_ws("\u001f", *parts), 256)
+    return F.sha2(F.concat_ws("\u001f", *parts), 256)
+
+
+def alert_id(decision: Column, model_version: Column, fields: list[str] | None = None) -> Column:
+    """R3: 'ALT-' + the digest's first 16 digits for alerts, null otherwise.  For display;
+    uniqueness is by ``alert_digest``."""
+    digest = alert_digest(model_version, fields)
     return F.when(decision == F.lit("alert"), F.concat(F.lit("ALT-"), F.substring(digest, 1, 16)))

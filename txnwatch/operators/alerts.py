@@ -19,11 +19,13 @@ PAYLOAD_TYPE = T.StructType([T.StructField(f, T.StringType()) for f in PAYLOAD_F
 
 
 def append_alerts(table: DataFrame, new: DataFrame) -> DataFrame:
-    """A1: insert rows whose alert_id is not in the table (alert_id unique);
-    duplicates inside ``new`` keep the lowest id."""
-    fresh = new.join(table.select("alert_id"), "alert_id", "left_anti")
-    first = fresh.groupBy("alert_id").agg(F.min("id").alias("id"))
-    fresh = fresh.join(first, ["alert_id", "id"], "left_semi")
+    """A1: insert rows whose alert is not in the table; of equal ones in ``new`` the lowest
+    id stays.  Alerts are told apart by ``alert_digest`` where both tables have it, else by
+    alert_id.  (``alert_store`` is the same for a stored table that grows by batches.)"""
+    key = "alert_digest" if "alert_digest" in table.columns and "alert_digest" in new.columns else "alert_id"
+    fresh = new.join(table.select(key), key, "left_anti")
+    first = fresh.groupBy(key).agg(F.min("id").alias("id"))
+    fresh = fresh.join(first, [key, "id"], "left_semi")
     return table.unionByName(fresh.select(*table.columns))
 
 

@@ -90,7 +90,7 @@ UNION ALL SELECT id, alert_id, transaction_id, round(risk_score, 6) FROM r5 WHER
 def q_append(spark, sf_dir):
     t = table(spark, sf_dir)
     new = sc.as_stored(sc.alert_records(scored(spark, sf_dir), created_at=F.col("timestamp")))
-    out = al.append_alerts(t, t.unionByName(new))
+    out = al.append_alerts(t, t.unionByName(new.drop("alert_digest")))
     return out.select("id", "alert_id", "transaction_id", r6("risk_score"))
 
 
