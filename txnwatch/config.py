@@ -9,8 +9,10 @@ from dataclasses import dataclass, field, replace
 class ModelParams:
     learning_rate: float = 0.08
     max_iter: int = 250
-    max_depth: int = 5
+    max_leaf_nodes: int = 31
     min_samples_leaf: int = 30
+    l2_regularization: float = 1.0
+    early_stopping: bool = False
 
 
 @dataclass(frozen=True)
