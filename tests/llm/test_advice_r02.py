@@ -163,18 +163,19 @@ def test_sets_compared_in_hash_ranges():
 
 # --- 8: mixing ---------------------------------------------------------------------------
 
-@pytest.mark.parametrize("ratio", [3.0, 1.0, 1 - 1e-16, 3 - 4e-16, 0.0, 0.4])
-def test_sources_taken_whole_spread_over_buckets(spark, ratio):
+@pytest.mark.parametrize("rate", [3.0, 1.0, 1 - 1e-16, 3 - 4e-16, 0.0, 0.4])
+def test_sources_taken_whole_spread_over_buckets(spark, rate):
     from pyspark.sql import functions as F
     rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit(0).cast("long").alias("text_key"),
-                                    F.lit(10).cast("long").alias("size"))
-    targets = spark.createDataFrame([("a", 20000, 20000 * ratio)], "source string, source_size long, target double")
-    ranked = mixing._ranked(rows, targets, 1000, "mix", None)
-    cut = mixing.cutoffs(rows, targets, 1000, "mix").collect()
-    sizes = {r["_bucket"]: r["count"] for r in ranked.groupBy("_bucket").count().collect()}
-    assert len(cut) <= 1 and all(sizes[r.cut_bucket] <= 20 for r in cut)
-    none = mixing._ranked(rows, targets, 1000, "mix", F.lit(0.0)).groupBy("_bucket").count()
-    assert none.agg(F.max("count")).first()[0] <= 20
+                                    F.lit(10).cast("long").alias("size"), F.lit(1).cast("long").alias("favour"))
+    rest = 20000 * (rate - math.floor(rate))
+    rates = spark.createDataFrame([("a", 1, 20000, 20000 * rate, rate, rest)],
+                                  "source string, favour long, source_size long, target double, rate double, rest double")
+    ranked = mixing._ranked(rows, rates, 1 << 14, "mix")
+    cut = mixing.cutoffs(rows, rates, 1 << 14, "mix").collect()
+    sizes = {r["_bucket"]: r["count"] for r in ranked.filter("_rank IS NOT NULL").groupBy("_bucket").count().collect()}
+    assert len(cut) <= 1 and all(n <= 25 for n in sizes.values())
+    assert bool(sizes) == (rate % 1 > 0)
 
 
 # --- 10: toxicity ------------------------------------------------------------------------

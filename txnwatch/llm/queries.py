@@ -183,21 +183,39 @@ WITH RECURSIVE docs AS (
   WINDOW o AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 ), targets AS (
   SELECT source, source_size, least(3.0::DOUBLE * source_size, (SELECT max(lvl) FROM level) * w) AS target FROM level
-), rated AS (
-  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
-         CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS whole,
-         (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5::DOUBLE) AS u
+), favoured AS (
+  SELECT d.*, t.source_size, t.target, length(bin(d.size))::BIGINT AS fav
   FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), classes AS (
+  SELECT source, fav, any_value(target) AS target, sum(size)::BIGINT AS words FROM favoured GROUP BY source, fav
+), levels AS (
+  SELECT *, (target - 3.0::DOUBLE * coalesce(sum(words) OVER (PARTITION BY source ORDER BY fav DESC
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+            / nullif((sum(fav * words) OVER (PARTITION BY source ORDER BY fav DESC
+                      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE, 0) AS lvl
+  FROM classes
+), rates AS (
+  SELECT source, fav, words, target, coalesce(least(3.0::DOUBLE, max(lvl) OVER (PARTITION BY source) * fav), 0) AS rate FROM levels
+), rests AS (
+  SELECT *, target - (sum(floor(rate)::BIGINT * words) OVER (PARTITION BY source))::DOUBLE AS rest FROM rates
+), odds AS (
+  SELECT f.*, r.rest, floor(r.rate) AS whole, r.rate - floor(r.rate) AS p,
+         (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5::DOUBLE)
+         / 4503599627370496.0::DOUBLE AS u
+  FROM favoured f JOIN rests r ON f.source IS NOT DISTINCT FROM r.source AND f.fav = r.fav
+), ranked AS (
+  SELECT *, CASE WHEN p > 0 THEN u / (1 - u) / (p / (1 - p)) END AS rank FROM odds
 ), summed AS (
-  SELECT *, target - whole * source_size AS rest, sum(size) OVER (PARTITION BY source ORDER BY u, doc_id) AS upto
-  FROM rated
+  SELECT *, CASE WHEN p > 0 THEN sum(CASE WHEN p > 0 THEN size ELSE 0 END) OVER
+                 (PARTITION BY source ORDER BY rank NULLS LAST, doc_id) END AS upto
+  FROM ranked
 ), taken AS (
   SELECT *, upto <= rest OR (upto - size < rest AND 2 * upto - size < 2 * rest) AS more FROM summed
 ), last AS (
-  SELECT source, max(u) FILTER (WHERE more) AS cut FROM taken GROUP BY source
+  SELECT source, max(rank) FILTER (WHERE more) AS cut FROM taken GROUP BY source
 )
 SELECT t.doc_id, t.size, t.source_size, t.target,
-       ((t.whole + CASE WHEN t.u <= l.cut THEN 1 ELSE 0 END) * t.size)::BIGINT AS taken
+       ((t.whole + CASE WHEN t.rank <= l.cut THEN 1 ELSE 0 END) * t.size)::BIGINT AS taken
 FROM taken t JOIN last l ON t.source IS NOT DISTINCT FROM l.source""",
     "op9_benchmark_decontamination": r"""
 WITH w AS (
