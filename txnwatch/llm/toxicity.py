@@ -3,14 +3,23 @@
 A logistic model over word presence, fitted on at most ``max_rows`` labelled
 documents of each class (a documented bound; the rows of smallest id hash).  Word
 counts by class come from a Spark aggregation over that sample; the ``vocabulary``
-words of largest association and all identity terms are the features, so what the
-driver fits on is bounded by max_rows x vocabulary.
+words of largest association (in at least 3 texts, which a weight needs to be told from
+chance) and the identity terms are the features, so what the driver fits on is bounded
+by max_rows x features.
 
 Counterfactuals: in each sentence of the sample an identity term is swapped with the
-other terms of its group.  With a linear score the change of the sentence's score is
-the difference of two weights, so the penalty is the mean squared difference over
-all swapped sentences; counts per term are enough.  It draws the weights of a group
-together, so a neutral mention of one group scores like any other.
+other terms of its group, and the mean squared change of the sentence's score (the log odds)
+over all swapped sentences is the penalty, so that a neutral mention of one group scores
+like any other.  A change depends on the sentence only by whether it holds the other term
+too, so counts of sentences by term and by pair of terms, added up in Spark, give the penalty
+of all swapped sentences as one quadratic form.  Terms are the given groups' as far as they
+occur, and families of the corpus: words of at least ``2 + STEM`` letters with the
+same first ``STEM`` letters (forms of one name, whatever the language) that occur in texts of
+both labels, ``FAMILY`` texts at least.
+
+The fit (l1, log loss, penalty) takes accelerated proximal steps on the features that may
+move, with the curvature of loss and penalty as the step, until a step moves no weight by
+``TOLERANCE`` and no other feature's gradient exceeds l1.
 
 Scoring is one pass over whole texts without a shuffle.
 
@@ -28,11 +37,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnwatch.llm.text import PUNCT, WordTable, word_hashes, word_tables
+from txnwatch.llm.text import PUNCT, WordTable, span_hashes, word_hashes, word_tables
 
 #: Groups of identity terms; a term is swapped with the others of its group.
 IDENTITY_GROUPS = (
@@ -47,6 +56,11 @@ IDENTITY_GROUPS = (
 )
 
 
+STEM = 6
+FAMILY = 5
+TOLERANCE = 1e-6
+
+
 @dataclass
 class ToxicityModel:
     """Sorted word hashes, their weights and the bias (null bias: no training rows)."""
@@ -102,34 +116,64 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFram
     return one.select(F.col("first.text").alias("text"), "y")
 
 
-def _identity() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    terms = [t for g in IDENTITY_GROUPS for t in g]
-    group = np.array([i for i, g in enumerate(IDENTITY_GROUPS) for _ in g])
-    h = word_hashes(terms)
-    order = np.argsort(h)
-    return h[order], group[order], order
+def given_groups(groups=IDENTITY_GROUPS) -> dict[int, int]:
+    """Word hash -> group of the given identity terms."""
+    terms = [(t, i) for i, g in enumerate(groups) for t in g]
+    return dict(zip(word_hashes([t for t, _ in terms]).view(np.int64).tolist(), (i for _, i in terms)))
+
+
+def _stems(table: WordTable, at: np.ndarray) -> np.ndarray:
+    """Hash of the first STEM letters of the words at ``at``, 0 for shorter words."""
+    begins = np.flatnonzero((table.data & 0xC0) != 0x80)
+    letter = np.searchsorted(begins, table.starts[at])
+    letters = np.searchsorted(begins, table.ends[at]) - letter
+    out = np.zeros(len(at), np.int64)
+    long = np.flatnonzero(letters >= STEM + 2)
+    if len(long):
+        order = long[np.argsort(table.starts[at[long]], kind="stable")]
+        out[order] = span_hashes(table.data, table.starts[at[order]], begins[letter[order] + STEM]).view(np.int64)
+    return out
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    terms, _, _ = _identity()
     for batch in batches:
         for part, table in word_tables(batch, "text", PUNCT):
-            h = table.hashes()
             y = part.column(part.schema.get_field_index("y")).to_numpy(zero_copy_only=False)
-            word, inv = np.unique(h, return_inverse=True)
+            word, at, inv = np.unique(table.hashes(), return_index=True, return_inverse=True)
             pair = np.unique(inv * table.n_docs + table.doc)
             w, d = pair // table.n_docs, pair % table.n_docs
             both = np.bincount(w, minlength=len(word))
             toxic = np.bincount(w, weights=y[d], minlength=len(word)).astype(np.int64)
-            stops = np.flatnonzero(np.isin(table.data, np.frombuffer(b".!?\n", np.uint8)))
-            named = np.flatnonzero(np.isin(h, terms))
-            sentence = np.searchsorted(stops, table.starts[named]) * (table.n_docs + 1) + table.doc[named]
-            seen = np.unique(np.stack([sentence.astype(np.uint64), h[named]], 1), axis=0)
-            swaps = np.zeros(len(word), np.int64)
-            if len(seen):
-                np.add.at(swaps, np.searchsorted(word, seen[:, 1]), 1)
-            yield pa.record_batch([pa.array(word.view(np.int64)), pa.array(both), pa.array(toxic), pa.array(swaps)],
-                                  names=["word", "n", "n_toxic", "n_swaps"])
+            yield pa.record_batch([pa.array(word.view(np.int64)), pa.array(_stems(table, at)), pa.array(both), pa.array(toxic)],
+                                  names=["word", "stem", "n", "n_toxic"])
+
+
+def _sentence_pairs(groups):
+    """(t, u, n): sentences that hold both of two terms of a group (t = u: that hold t)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = groups.value
+        terms = np.array(sorted(known), np.int64).view(np.uint64)
+        terms = np.sort(terms)
+        for batch in batches:
+            for _, table in word_tables(batch, "text", PUNCT):
+                h = table.hashes()
+                stops = np.flatnonzero(np.isin(table.data, np.frombuffer(b".!?\n", np.uint8)))
+                named = np.flatnonzero(np.isin(h, terms))
+                sentence = np.searchsorted(stops, table.starts[named]) * (table.n_docs + 1) + table.doc[named]
+                found: dict[int, set[int]] = {}
+                for s, t in zip(sentence.tolist(), h[named].view(np.int64).tolist()):
+                    found.setdefault(s, set()).add(t)
+                counts: dict[tuple[int, int], int] = {}
+                for held in found.values():
+                    for t in held:
+                        for u in held:
+                            if known[t] == known[u]:
+                                counts[t, u] = counts.get((t, u), 0) + 1
+                if counts:
+                    t, u = zip(*counts)
+                    yield pa.record_batch([pa.array(t, pa.int64()), pa.array(u, pa.int64()), pa.array(list(counts.values()), pa.int64())],
+                                          names=["t", "u", "n"])
+    return run
 
 
 def _feature_rows(model):
@@ -145,63 +189,117 @@ def _feature_rows(model):
     return run
 
 
+def swap_form(group: np.ndarray, sentences: dict[tuple[int, int], int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sparse (i, j, q) of the mean squared score change over all swapped sentences.
+
+    ``group`` numbers the group of each feature (-1: none); ``sentences`` counts those that
+    hold features t and u.  Swapping t for u changes the score by w_t - w_u, or by w_t where
+    the sentence holds u already."""
+    q: dict[tuple[int, int], float] = {}
+    total = 0.0
+    members: dict[int, list[int]] = {}
+    for k in np.flatnonzero(group >= 0).tolist():
+        members.setdefault(int(group[k]), []).append(k)
+    for group_members in members.values():
+        for t in group_members:
+            n = sentences.get((t, t), 0)
+            for u in group_members:
+                if u == t or not n:
+                    continue
+                total += n
+                alone = n - sentences.get((t, u), 0)
+                for key, x in (((t, t), n), ((u, u), alone), ((t, u), -alone), ((u, t), -alone)):
+                    q[key] = q.get(key, 0.0) + x
+    if not total:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    i, j = (np.array(x, np.int64) for x in zip(*q))
+    return i, j, np.array(list(q.values())) / total
+
+
+def _largest(apply, n: int, rounds: int = 30) -> float:
+    """Largest eigenvalue of a positive form, a little more."""
+    v, size = np.ones(n) / np.sqrt(max(n, 1)), 0.0
+    for _ in range(rounds):
+        v = apply(v)
+        size = np.linalg.norm(v)
+        if not size:
+            return 0.0
+        v = v / size
+    return 1.05 * size
+
+
 def _fit(row: np.ndarray, col: np.ndarray, y: np.ndarray, sample_weight: np.ndarray, k: int,
-         swaps: np.ndarray, group: np.ndarray, l1: float, penalty: float, steps: int) -> tuple[np.ndarray, float]:
-    """Accelerated proximal gradient on weighted log loss + l1 + counterfactual penalty.
+         form: tuple[np.ndarray, np.ndarray, np.ndarray], l1: float, penalty: float, steps: int = 20_000,
+         tolerance: float = TOLERANCE) -> tuple[np.ndarray, float]:
+    """Weights and bias of least weighted log loss + l1 + penalty * mean squared score change.
 
-    ``group`` numbers the identity group of a feature (-1: none), ``swaps`` counts
-    sentences in which it was swapped."""
+    Steps are taken on the features that have moved or would; when they stand still, those
+    whose gradient exceeds l1 join, until there are none."""
     n = len(y)
     sw = sample_weight / sample_weight.sum()
-    inside = np.flatnonzero(group >= 0)
-    g, share = group[inside], swaps[inside] / max(1, swaps[inside].sum())
-    n_groups = int(group.max()) + 1 if len(inside) else 0
-    member = np.bincount(g, minlength=n_groups) if n_groups else np.zeros(0)
-
-    def pull(w: np.ndarray) -> np.ndarray:
-        """Gradient of sum_t share_t * mean over the other terms u of (w_t - w_u)^2."""
-        if not n_groups:
-            return np.zeros(0)
-        v, m = w[inside], np.maximum(member[g] - 1, 1)
-        total_v = np.bincount(g, weights=v, minlength=n_groups)[g]
-        sm = share / m
-        total_s = np.bincount(g, weights=sm, minlength=n_groups)[g]
-        total_sv = np.bincount(g, weights=sm * v, minlength=n_groups)[g]
-        return 2 * (sm * (member[g] * v - total_v) + total_s * v - total_sv)
-
-    v = np.ones(k + 1) / np.sqrt(k + 1)
-    size = 1.0
-    for _ in range(20):
-        xv = np.bincount(row, weights=v[col], minlength=n) + v[k]
-        u = np.append(np.bincount(col, weights=(sw * xv)[row], minlength=k), (sw * xv).sum())
-        size = np.linalg.norm(u) or 1.0
-        v = u / size
-    step = 1 / (0.25 * size * 1.1 + 8 * penalty)
-    w = np.zeros(k + 1)
     rate = (sw * y).sum()
-    w[k] = np.log(rate / (1 - rate))
-    z, t = w.copy(), 1.0
-    for _ in range(steps):
-        margin = np.bincount(row, weights=z[col], minlength=n) + z[k]
+    w, bias = np.zeros(k), float(np.log(rate / (1 - rate)))
+    qi, qj, q = form
+
+    def gradient(w: np.ndarray, bias: float, row, col, width: int, qi, qj, q) -> tuple[np.ndarray, float]:
+        margin = np.bincount(row, weights=w[col], minlength=n) + bias
         err = sw * (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - y)
-        grad = np.append(np.bincount(col, weights=err[row], minlength=k), err.sum())
-        if n_groups:
-            grad[inside] += penalty * pull(z)
-        new = z - step * grad
-        new[:k] = np.sign(new[:k]) * np.maximum(np.abs(new[:k]) - step * l1, 0)
-        t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        z = new + (t - 1) / t_new * (new - w)
-        w, t = new, t_new
-    return w[:k], float(w[k])
+        g = np.bincount(col, weights=err[row], minlength=width)
+        return g + 2 * penalty * np.bincount(qi, weights=q * w[qj], minlength=width), float(err.sum())
+
+    active = np.zeros(0, np.int64)
+    while True:
+        g, _ = gradient(w, bias, row, col, k, qi, qj, q)
+        over = np.where(w == 0, np.abs(g) - l1, 0.0)
+        over[active] = 0
+        join = np.argsort(-over, kind="stable")[:256]
+        join = join[over[join] > 1e-3 * l1]
+        if len(active) and not len(join):
+            return w, bias
+        active = np.union1d(np.flatnonzero(w), join)
+        # the same problem on the active features
+        at = np.full(k, -1)
+        at[active] = np.arange(len(active))
+        mine = at[col] >= 0
+        r, c = row[mine], at[col[mine]]
+        inside = (at[qi] >= 0) & (at[qj] >= 0)
+        part = (at[qi[inside]], at[qj[inside]], q[inside])
+        m = len(active)
+
+        def curved(v: np.ndarray) -> np.ndarray:
+            u = sw * (np.bincount(r, weights=v[:m][c], minlength=n) + v[m])
+            top = 0.25 * np.bincount(c, weights=u[r], minlength=m)
+            return np.append(top + 2 * penalty * np.bincount(part[0], weights=part[2] * v[:m][part[1]], minlength=m), 0.25 * u.sum())
+
+        step = 1 / (_largest(curved, m + 1) or 1.0)
+        x = np.append(w[active], bias)
+        z, t = x.copy(), 1.0
+        for _ in range(steps):
+            gw, gb = gradient(z[:m], z[m], r, c, m, *part)
+            new = z - step * np.append(gw, gb)
+            new[:m] = np.sign(new[:m]) * np.maximum(np.abs(new[:m]) - step * l1, 0)
+            move = new - x
+            if (z - new) @ move > 0:  # the momentum points uphill: start it anew
+                t = 1.0
+            t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
+            z = new + (t - 1) / t_new * move
+            x, t = new, t_new
+            if np.abs(move).max() < tolerance and np.abs(z - x).max() < 10 * tolerance:
+                break
+        w = np.zeros(k)
+        w[active], bias = x[:m], float(x[m])
+        if not m:
+            return w, bias
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, vocabulary: int = 4096,
-        l1: float = 3e-4, penalty: float = 1.0, steps: int = 400) -> ToxicityModel:
+        l1: float = 3e-4, penalty: float = 1.0, groups=IDENTITY_GROUPS, families: int = 200, steps: int = 20_000) -> ToxicityModel:
+    """``families``: at most so many families of the corpus, those of most texts; a family has
+    its 32 most frequent members (bounds of the features, as ``vocabulary``)."""
     spark = docs.sparkSession
     train = training_rows(docs, labels, max_rows).checkpoint()  # read several times
-    counts = (train.mapInArrow(_word_counts, "word long, n long, n_toxic long, n_swaps long")
-              .groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("p"), F.sum("n_swaps").alias("s")))
-    terms, group, _ = _identity()
+    counts = (train.mapInArrow(_word_counts, "word long, stem long, n long, n_toxic long")
+              .groupBy("word", "stem").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("p")).checkpoint())
     totals = train.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("p")).first()
     n_all, n_pos = totals["n"], totals["p"] or 0
     if not n_all:
@@ -213,13 +311,29 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, vocabulary:
     lean = F.abs(F.log(a / (n_pos + 1 - a)) - F.log(b / (n_all - n_pos + 1 - b))) / F.sqrt(1 / a + 1 / b)
     top = (counts.filter("n >= 3").select("word", lean.alias("z"))
            .orderBy(F.desc("z"), "word").limit(vocabulary).collect())
-    named = {r["word"]: r["s"] for r in counts.filter(F.col("word").isin(terms.view(np.int64).tolist())).collect()}
-    words = np.unique(np.concatenate([np.array([r["word"] for r in top], np.int64).view(np.uint64), terms]))
+    # terms: the given ones that occur, and families of the corpus
+    given = given_groups(groups)
+    occur = [r["word"] for r in counts.filter(F.col("word").isin(list(given))).select("word").collect()]
+    named = {t: given[t] for t in occur}
+    mixed = counts.filter((F.col("stem") != 0) & (F.col("n") >= FAMILY) & (F.col("p") > 0) & (F.col("p") < F.col("n")))
+    place = F.row_number().over(Window.partitionBy("stem").orderBy(F.desc("n"), "word"))
+    mixed = mixed.withColumn("place", place).filter("place <= 32")
+    kin = (mixed.groupBy("stem").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).filter("k > 1")
+           .orderBy(F.desc("n"), "stem").limit(families).select("stem"))
+    for r in mixed.join(F.broadcast(kin), "stem").select("word", "stem").collect():
+        named.setdefault(r["word"], r["stem"])
+    ids = {g: i for i, g in enumerate(sorted(set(named.values())))}
+    named = {t: ids[g] for t, g in named.items()}
+    words = np.unique(np.array([r["word"] for r in top] + list(named), np.int64).view(np.uint64))
     k = len(words)
-    groups, swaps = np.full(k, -1), np.zeros(k)
-    at = np.searchsorted(words, terms)
-    groups[at] = group
-    swaps[at] = [named.get(t, 0) for t in terms.view(np.int64).tolist()]
+    group = np.full(k, -1)
+    position = {w: i for i, w in enumerate(words.view(np.int64).tolist())}
+    for t, g in named.items():
+        group[position[t]] = g
+    shared = spark.sparkContext.broadcast(named)
+    seen = (train.mapInArrow(_sentence_pairs(shared), "t long, u long, n long")
+            .groupBy("t", "u").agg(F.sum("n").alias("n")).collect()) if named else []
+    form = swap_form(group, {(position[r["t"]], position[r["u"]]): r["n"] for r in seen})
     shape = spark.sparkContext.broadcast(ToxicityModel(words, np.zeros(k), 0.0))
     rows = train.mapInArrow(_feature_rows(shape), "y int, feats binary").toArrow()
     y = rows["y"].to_numpy().astype(float)
@@ -230,7 +344,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, vocabulary:
     share = labels.filter(F.col("toxic").isNotNull() & ~held_out()).agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
     share = min(max(share, 1e-4), 1 - 1e-4)
     weight = np.where(y > 0, share / max(y.sum(), 1), (1 - share) / max((1 - y).sum(), 1))
-    w, bias = _fit(row, col, y, weight, k, swaps, groups, l1, penalty, steps)
+    w, bias = _fit(row, col, y, weight, k, form, l1, penalty, steps)
     return ToxicityModel(words, w, bias)
 
 
