@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnwatch.llm.text import PUNCT, WordTable, buffers, word_tables
+from txnwatch.llm.text import PUNCT, WordTable, buffers, packed, unpacked, word_tables
 
 SAMPLE = 8
 SHARD_BYTES = 8 << 20
@@ -289,8 +289,7 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """``docs`` with the merged removal spans cut out of ``text``."""
-    found = occurrences(spark, docs.withColumnsRenamed({c: f"_in_{c}" for c in docs.columns if c in SPANS.names}),
-                        benchmark, window)
+    found = occurrences(spark, packed(docs, "text"), benchmark, window)
     raw = F.encode("text", "UTF-8")
     # byte pieces between the spans; spans start and end at word bounds, so UTF-8 stays whole
     cuts = F.concat(F.array(F.struct(F.lit(0).cast("long").alias("byte_start"), F.lit(0).cast("long").alias("byte_end"))),
@@ -301,5 +300,5 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
         cast(coalesce(try_element_at(_cuts, i + 2).byte_start, cast(length(_raw) as bigint)) - c.byte_end as int)),
         'UTF-8')), '')""")
     found = found.withColumn("text", F.when(F.size("spans") > 0, pieces).otherwise(F.col("text")))
-    return found.select(*[F.col(f"_in_{c}").alias(c) if c in SPANS.names else F.col(c) for c in docs.columns])
+    return unpacked(found, docs.columns, ("text",))
 

@@ -24,6 +24,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnwatch.llm.text import packed, unpacked
+
 STRIP = " \t\n\x0b\x0c\r"
 
 
@@ -66,13 +68,13 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
 
 
 def with_kept_text(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """``docs`` with _n_lines, _n_dropped and _kept_text."""
+    """``docs`` (no names with an underscore in front) with _n_lines, _n_dropped and _kept_text."""
     marks = keep_bitmaps(docs, min_chars, min_docs).select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("keep").alias("_keep"),
         F.col("n_dropped").alias("_lost"))
     keyed = docs.withColumn("_text_key", F.xxhash64("text"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    out = keyed.join(marks.hint("shuffle_hash"), same, "left")
+    out = keyed.join(marks, same, "left")
     out = out.withColumn("_text", F.coalesce("text", F.lit(""))).withColumn("_lines", _lines("text"))
     kept = F.expr("array_join(filter(_lines, (x, i) -> "
                   "getbit(coalesce(try_element_at(_keep, cast(i div 64 as int)), -1L), i % 64) = 1), '\n')")
@@ -83,6 +85,6 @@ def with_kept_text(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> D
 
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text`` (null stays null)."""
-    out = with_kept_text(docs, min_chars, min_docs)
-    text = F.when(F.col("text").isNotNull(), F.col("_kept_text")).alias("text")
-    return out.select(*[text if c == "text" else F.col(c) for c in docs.columns])
+    out = with_kept_text(packed(docs, "doc_id", "text"), min_chars, min_docs)
+    out = out.withColumn("text", F.when(F.col("text").isNotNull(), F.col("_kept_text")))
+    return unpacked(out, docs.columns, ("doc_id", "text"))

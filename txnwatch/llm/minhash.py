@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnwatch.llm.graph import components
-from txnwatch.llm.text import SPACE, WordTable, mix64, word_tables
+from txnwatch.llm.text import SPACE, WordTable, mix64, packed, unpacked, word_tables
 
 PERMUTATIONS = 48
 BANDS = 24
@@ -283,9 +283,10 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
 
     Rows are told apart by doc_id and text; exact repeats of a kept row leave one.
     """
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
-    marks = near_duplicates(keyed.select("doc_id", "text"), words, percent, carry_key=True)
-    lost = (marks.filter(~F.col("kept")).select(F.col("doc_id").alias("_lost_id"), F.col("text_key").alias("_lost_key"))
-            .distinct())
-    same = F.col("doc_id").eqNullSafe(F.col("_lost_id")) & (F.col("_text_key") == F.col("_lost_key"))
-    return keyed.join(lost, same, "left_anti").dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_name")
+    keyed = packed(docs, "doc_id", "text").withColumns({"_name": name, "_key": F.xxhash64("text")})
+    marks = near_duplicates(docs.select("doc_id", "text"), words, percent, carry_key=True)
+    lost = marks.filter(~F.col("kept")).select(name, F.col("text_key").alias("_key")).distinct()
+    # repeats meet where the join has put them
+    kept = keyed.join(lost, ["_name", "_key"], "left_anti").dropDuplicates(["_name", "_key"])
+    return unpacked(kept, docs.columns, ("doc_id", "text"))

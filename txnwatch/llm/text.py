@@ -11,6 +11,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 CHUNK_BYTES = 4 << 20
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -76,6 +78,18 @@ def _hash_long(data: np.ndarray, step: int) -> np.uint64:
     return np.uint64(total % (1 << 64))
 
 
+def packed(df: DataFrame, *apart: str) -> DataFrame:
+    """The columns ``apart`` and the others as one struct _row, so that no name of the table
+    can meet a name that an operator uses."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in apart]
+    return df.select(*apart, (F.struct(*rest) if rest else F.lit(0)).alias("_row"))
+
+
+def unpacked(df: DataFrame, columns: list[str], apart: tuple[str, ...]) -> DataFrame:
+    """The table of ``columns`` again, those of ``apart`` as they are in ``df``."""
+    return df.select(*[F.col(c) if c in apart else F.col("_row").getField(c).alias(c) for c in columns])
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int = 1 << 18) -> np.ndarray:
     """64-bit hashes of byte spans in ascending order (a span may be empty or of any length)."""
     out = np.empty(len(starts), dtype=np.uint64)
