@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnwatch.llm import fm_index, line_dedup, minhash, mixing, toxicity
+from txnwatch.llm.text import packed, unpacked
 from txnwatch.session import checkpoint_path
 
 #: Documents of at least this toxicity score are rejected.
@@ -31,8 +32,8 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score(docs, model, "_toxicity")
-    return scored.filter(F.col("_toxicity") < TOXIC).select(*docs.columns)
+    scored = toxicity.score(packed(docs, "text"), model, "_toxicity")
+    return unpacked(scored.filter(F.col("_toxicity") < TOXIC), docs.columns, ("text",))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
