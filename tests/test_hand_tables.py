@@ -2,6 +2,7 @@
 empty input, single class."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,11 +168,12 @@ def test_prefix_sums_across_many_partitions(spark):
     desc = {r["k"]: r["w_before"] for r in prefix_sums(df, ["k"], ["w"], descending=True, num_partitions=7).collect()}
     assert desc[499] == 0 and desc[0] == sum(w for _, w in data[1:])
     vals = spark.createDataFrame([(float(v),) for v in [5, 1, 3, 3, 9, 7, 3]], "v double")
-    ranks = {r["rank"]: r["value"] for r in values_at_ranks(vals, "v", [0, 2, 4, 6]).collect()}
+    ranks = values_at_ranks(vals, "v", [0, 2, 4, 6])
     assert ranks == {0: 1.0, 2: 3.0, 4: 5.0, 6: 9.0}
 
 
-def test_quantiles_are_exact_beyond_the_sketch(spark):
+@pytest.mark.parametrize("most", [10, 700, 2_000_000])
+def test_quantiles_are_exact_beyond_the_sketch(spark, most):
     """30,000 rows, heavy ties, NaN and nulls, against numpy."""
     import numpy as np
     from txnwatch.operators.ordinal import grouped_medians, grouped_quantiles
@@ -179,9 +181,29 @@ def test_quantiles_are_exact_beyond_the_sketch(spark):
     a, b = rng.lognormal(3, 2, 30_000), rng.integers(0, 4, 30_000).astype(float)
     df = spark.createDataFrame([(float(x), float(y) if i % 5 else None, float("nan"), 7.0 if i == 9 else None)
                                 for i, (x, y) in enumerate(zip(a, b))], "a double, b double, c double, d double")
-    got = grouped_quantiles(df, ["a", "b", "c", "d"], 11)
+    got = grouped_quantiles(df, ["a", "b", "c", "d"], 11, most)
     kept = np.array([y for i, y in enumerate(b) if i % 5])
     assert got["a"] == pytest.approx(np.quantile(a, np.linspace(0, 1, 11)).tolist(), rel=1e-12)
     assert got["b"] == pytest.approx(np.quantile(kept, np.linspace(0, 1, 11)).tolist())
     assert got["c"] == [] and got["d"] == [7.0] * 11
     assert grouped_medians(df, ["a", "c"]) == {"a": pytest.approx(float(np.median(a))), "c": None}
+
+
+@pytest.mark.parametrize("most", [50, 5_000])
+def test_many_quantiles_of_extreme_values(spark, most):
+    """401 ranks over infinities, denormals, equal neighbours and a value that fills a third."""
+    import numpy as np
+    from txnwatch.operators.ordinal import grouped_quantiles
+    rng = np.random.default_rng(2)
+    v = np.concatenate([rng.normal(size=4000), np.full(3000, 0.25), [math.inf] * 9, [-math.inf] * 5, [5e-324, 0.0, -0.0, 1.0],
+                        np.nextafter(0.25, 1) * np.ones(40)])
+    rng.shuffle(v)
+    df = spark.createDataFrame([(float(x),) for x in v], "v double")
+    got = grouped_quantiles(df, ["v"], 401, most)["v"]
+    s, n = np.sort(v), len(v)
+    for i, q in enumerate(got):
+        j, rest = divmod((n - 1) * i, 400)
+        if rest == 0 or s[j] == s[j + 1]:
+            assert q == s[j]
+        elif math.isfinite(s[j]) and math.isfinite(s[j + 1]):
+            assert s[j] <= q <= s[j + 1]

@@ -1,66 +1,89 @@
-"""Data drift between a reference and a current window."""
+"""Data drift between a reference and a current window.
+
+A feature's shares in both windows come from one aggregation: every row of either window
+gives one (feature, bin) for each feature, a numeric feature's bin by its reference quantile
+edges, a categorical one's by its value.  All features share that pass.
+"""
 
 from __future__ import annotations
 
 import math
 
-
-
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnwatch.config import DEFAULT, Params
-from pyspark.ml.feature import Bucketizer
-
 from txnwatch.operators.ordinal import grouped_quantiles
 from txnwatch.schema import DRIFT_CATEGORICAL, DRIFT_NUMERIC
 
 SHARE_FLOOR = 1e-6
 
 
+def _edges(reference: DataFrame, cols: list[str], bins: int) -> dict[str, list[float]]:
+    """Inner reference quantile edges of the columns that have three distinct ones or more."""
+    found = {c: sorted(set(q)) for c, q in grouped_quantiles(reference, cols, bins + 1).items()}
+    return {c: e[1:-1] for c, e in found.items() if len(e) >= 3}
+
+
+def _binned(df: DataFrame, edges: dict[str, list[float]], categories: list[str], current: bool) -> DataFrame:
+    """(feature, bin, current) for each feature of each row; missing numbers have no bin, a
+    missing category is one of its own."""
+    out = df.select(*[F.col(c).cast("string").try_cast("double").alias(f"_x{i}") for i, c in enumerate(edges)],
+                    *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")).alias(f"_k{i}") for i, c in enumerate(categories)])
+    if edges:
+        out = Bucketizer(splitsArray=[[-math.inf, *e, math.inf] for e in edges.values()],
+                         inputCols=[f"_x{i}" for i in range(len(edges))],
+                         outputCols=[f"_b{i}" for i in range(len(edges))], handleInvalid="keep").transform(out)
+
+    def entry(feature: str, value: Column) -> Column:
+        return F.struct(F.lit(feature).alias("feature"), value.alias("bin"))
+
+    parts = [F.when(F.col(f"_x{i}").isNotNull() & ~F.isnan(f"_x{i}"), entry(c, F.col(f"_b{i}").cast("int").cast("string")))
+             for i, c in enumerate(edges)]
+    parts += [entry(c, F.col(f"_k{i}")) for i, c in enumerate(categories)]
+    return (out.select(F.explode(F.array(*parts)).alias("e")).where("e is not null")
+            .select("e.feature", "e.bin", F.lit(int(current)).alias("current")))
+
+
+def _shares(reference: DataFrame, current: DataFrame, edges: dict[str, list[float]], categories: list[str]) -> DataFrame:
+    """feature, bin, r, c (shares of the windows; null where a window has no rows)."""
+    both = _binned(reference, edges, categories, False).union(_binned(current, edges, categories, True))
+    n = both.groupBy("feature", "bin").agg(F.count_if(F.col("current") == 0).alias("_r"), F.sum("current").alias("_c"))
+    every = Window.partitionBy("feature")  # a row for each bin of a feature
+    return n.select("feature", "bin", F.try_divide("_r", F.sum("_r").over(every)).alias("r"),
+                    F.try_divide("_c", F.sum("_c").over(every)).alias("c"))
+
+
+def _psi(shares: DataFrame) -> DataFrame:
+    r = F.greatest(F.coalesce("r", F.lit(0.0)), F.lit(SHARE_FLOOR))
+    c = F.greatest(F.coalesce("c", F.lit(0.0)), F.lit(SHARE_FLOOR))
+    # an empty current window gives 0
+    value = F.when(F.count("c") > 0, F.sum((c - r) * F.log(c / r))).otherwise(F.lit(0.0))
+    return shares.groupBy("feature").agg(value.alias("value"))
+
+
+def _distance(shares: DataFrame) -> DataFrame:
+    d = F.abs(F.coalesce("r", F.lit(0.0)) - F.coalesce("c", F.lit(0.0)))
+    return shares.groupBy("feature").agg((0.5 * F.sum(d)).alias("value"))
+
+
+def _for_each(spark, names: list[str], found: DataFrame, value: str) -> DataFrame:
+    named = spark.createDataFrame([(c,) for c in names], "feature string")
+    return named.join(found, "feature", "left").select("feature", F.coalesce("value", F.lit(0.0)).alias(value))
+
+
 def psi_many(reference: DataFrame, current: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
     """D1 for several columns at once: (feature, psi).
 
-    Reference quantile edges for every column come from one grouped rank
-    pass; one multi-column Bucketizer bins both windows; one histogram per
-    window keyed by (feature, bucket); a full outer join of the two.  Outer
-    edges are infinite, bins [a, b); shares floored at 1e-6; an empty side or
+    Outer edges are infinite, bins [a, b); shares floored at 1e-6; an empty side or
     fewer than three unique edges gives 0.0.
     """
+    edges = _edges(reference, cols, bins)
     spark = reference.sparkSession
-    quant = grouped_quantiles(reference, cols, bins + 1)
-    edges = {c: sorted(set(q)) for c, q in quant.items()}
-    usable = [c for c in cols if len(edges[c]) >= 3]
-    zero = spark.createDataFrame([(c, 0.0) for c in cols if c not in usable], "feature string, psi double")
-    if not usable:
-        return zero
-    buck = Bucketizer(splitsArray=[[-math.inf, *edges[c][1:-1], math.inf] for c in usable],
-                      inputCols=[f"_x{i}" for i in range(len(usable))],
-                      outputCols=[f"_b{i}" for i in range(len(usable))], handleInvalid="keep")
-
-    def hist(df: DataFrame, name: str) -> DataFrame:
-        vals = df.select(*[F.col(c).cast("string").try_cast("double").alias(f"_x{i}") for i, c in enumerate(usable)])
-        b = buck.transform(vals)
-        long = b.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.col(f"_b{i}").cast("int").alias("_b"),
-                     (F.col(f"_x{i}").isNotNull() & ~F.isnan(f"_x{i}")).alias("_ok"))
-            for i, c in enumerate(usable)])).alias("_y")).select("_y.*").where("_ok")
-        h = long.groupBy("feature", "_b").agg(F.count(F.lit(1)).alias("_n"))
-        # one row per (feature, bucket): a bounded table
-        from pyspark.sql import Window
-        tot = F.sum("_n").over(Window.partitionBy("feature"))
-        return h.select("feature", "_b", (F.col("_n") / tot).alias(name))
-
-    j = hist(reference, "_r").join(hist(current, "_c"), ["feature", "_b"], "full_outer")
-    r = F.greatest(F.coalesce("_r", F.lit(0.0)), F.lit(SHARE_FLOOR))
-    c = F.greatest(F.coalesce("_c", F.lit(0.0)), F.lit(SHARE_FLOOR))
-    got = j.groupBy("feature").agg(F.sum((c - r) * F.log(c / r)).alias("psi"),
-                                   F.count("_c").alias("_cur_bins"))
-    # an empty current window gives 0.0
-    got = got.select("feature", F.when(F.col("_cur_bins") > 0, F.col("psi")).otherwise(F.lit(0.0)).alias("psi"))
-    present = spark.createDataFrame([(c,) for c in usable], "feature string")
-    got = present.join(got, "feature", "left").select("feature", F.coalesce("psi", F.lit(0.0)).alias("psi"))
-    return got.unionByName(zero)
+    if not edges:
+        return spark.createDataFrame([(c, 0.0) for c in cols], "feature string, psi double")
+    return _for_each(spark, cols, _psi(_shares(reference, current, edges, [])), "psi")
 
 
 def psi(reference: DataFrame, current: DataFrame, col: str, bins: int = 10) -> DataFrame:
@@ -68,40 +91,30 @@ def psi(reference: DataFrame, current: DataFrame, col: str, bins: int = 10) -> D
     return psi_many(reference, current, [col], bins).select("psi")
 
 
-def _category(df: DataFrame, col: str) -> DataFrame:
-    # a missing value is a category of its own
-    return df.select(F.coalesce(F.col(col).cast("string"), F.lit("<null>")).alias("_k"))
+def category_distances(reference: DataFrame, current: DataFrame, cols: list[str]) -> DataFrame:
+    """D2 for several columns at once: (feature, distance)."""
+    return _for_each(reference.sparkSession, cols, _distance(_shares(reference, current, {}, cols)), "distance")
 
 
 def category_distance(reference: DataFrame, current: DataFrame, col: str) -> DataFrame:
     """Total variation (half L1) between category shares (one row: distance)."""
-    def shares(df: DataFrame, name: str) -> DataFrame:
-        h = _category(df, col).groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-        total = h.select(F.sum("_n")).scalar()
-        return h.select("_k", (F.col("_n") / total).alias(name))
-
-    j = shares(reference, "_r").join(shares(current, "_c"), "_k", "full_outer")
-    d = F.abs(F.coalesce("_r", F.lit(0.0)) - F.coalesce("_c", F.lit(0.0)))
-    return j.agg(F.coalesce(0.5 * F.sum(d), F.lit(0.0)).alias("distance"))
+    return category_distances(reference, current, [col]).select("distance")
 
 
 def drift_values(reference: DataFrame, current: DataFrame, numeric: list[str] = DRIFT_NUMERIC,
                  categorical: list[str] = DRIFT_CATEGORICAL) -> DataFrame:
     """Long table (kind, feature, value): PSI per numeric feature, total
     variation per categorical feature.  Both windows are projected to the
-    drift columns and checkpointed once, since every feature re-reads them."""
+    drift columns and checkpointed once, since edges and shares read them."""
     cols = [*numeric, *categorical]
     reference = reference.select(*cols).checkpoint()
     current = current.select(*cols).checkpoint()
-    parts = [psi_many(reference, current, numeric).select(F.lit("psi").alias("kind"), "feature",
-                                                          F.col("psi").alias("value"))]
-    parts += [category_distance(reference, current, c).select(
-        F.lit("total_variation").alias("kind"), F.lit(c).alias("feature"), F.col("distance").alias("value"))
-        for c in categorical]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    spark = reference.sparkSession
+    shares = _shares(reference, current, _edges(reference, numeric, 10), categorical)
+    is_category = F.col("feature").isin(categorical)
+    return (_for_each(spark, numeric, _psi(shares.where(~is_category)), "value").select(F.lit("psi").alias("kind"), "feature", "value")
+            .union(_for_each(spark, categorical, _distance(shares.where(is_category)), "value")
+                   .select(F.lit("total_variation"), "feature", "value")))
 
 
 def drift_report(reference: DataFrame, current: DataFrame, params: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
@@ -117,5 +130,3 @@ def drift_report(reference: DataFrame, current: DataFrame, params: Params = DEFA
         current.select(F.count(F.lit(1))).scalar().alias("current_rows"),
     )
     return values, summary
-
-

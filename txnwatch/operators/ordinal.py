@@ -10,8 +10,11 @@ checkpoint folder, which fixes its layout against recomputation.
 
 from __future__ import annotations
 
+import bisect
 import math
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,127 +71,135 @@ def bucket_index(col: str, splits: list[float], out: str) -> Bucketizer:
     return Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol=col, outputCol=out)
 
 
-def values_at_ranks(values: DataFrame, value_col: str, ranks: list[int]) -> DataFrame:
-    """Exact order statistics: (rank, value) for each 0-based rank.
+#: Values of the cells that hold wanted ranks are counted one by one from here down.
+MOST_VALUES = 2_000_000
+_SKETCH = 2048
+_FIRST_CUTS, _CUTS = 1024, 64
 
-    Values are first counted per distinct value (partial aggregation), then
-    each distinct value covers the rank range [lo, lo + n); the ranks inside
-    that range are found by binary search (Bucketizer) over the sorted rank
-    list, so no per-row scan over all ranks is needed.
-    """
-    hist = values.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
-    return _pick_ranks(prefix_sums(hist, [value_col], ["_n"]), value_col, ranks)
 
+@dataclass(frozen=True)
+class _Cell:
+    """Values lo <= v < hi of a column: how many are below, and how many it has."""
+
+    column: int
+    lo: float
+    hi: float
+    below: int
+    n: int
+
+    @property
+    def single(self) -> bool:
+        return self.hi <= math.nextafter(self.lo, math.inf)
 
-_ACCURACY = 10_000
+    def holds(self, ranks: list[int]) -> bool:
+        i = bisect.bisect_left(ranks, self.below)
+        return i < len(ranks) and ranks[i] < self.below + self.n
 
 
-def grouped_quantiles(df: DataFrame, cols: list[str], count: int) -> dict[str, list[float]]:
+def grouped_quantiles(df: DataFrame, cols: list[str], count: int, most: int = MOST_VALUES) -> dict[str, list[float]]:
     """``count`` evenly spaced linear quantiles (exact ranks) of every column.
 
-    Two passes over the wide rows.  The first counts the values of each column and
-    brackets each wanted rank with approximate percentiles.  The second counts exactly
-    what lies below each bracket and keeps only the values inside them (about
-    1 in 2,500 per rank), whose histogram gives the exact ranks.  A bracket that misses
-    its rank is widened.  Nulls and NaN are ignored; a column without values has none.
+    A rank lies in a cell of values.  While the cells that hold wanted ranks have more than
+    ``most`` values, mergeable quantile sketches of them (a partial aggregate) give cuts, an
+    exact count of the values between the cuts tells in which part each rank lies, and the
+    others are dropped: a cell gets some hundred times smaller with two reads, and a value
+    that fills a cell is a cell of its own.  What is left is counted by value and read in
+    order.  Nulls and NaN are ignored; a column without values has none.
     """
     numeric = [F.col(c).cast("double") for c in cols]
     x = df.select(*[F.when(~F.isnan(v), v).alias(f"_x{i}") for i, v in enumerate(numeric)])
-    names = [f"_x{i}" for i in range(len(cols))]
-    n_of = list(x.agg(*[F.count(c) for c in names]).first())
+    n_of = list(x.agg(*[F.count(f"_x{i}") for i in range(len(cols))]).first())
     steps = count - 1
-    wanted: dict[str, list[tuple[int, int]]] = {
-        c: [((n - 1) * i // steps, (n - 1) * i % steps) for i in range(count)] for c, n in zip(names, n_of) if n}
-    ranks = {c: sorted({j for j, _ in pos} | {j + 1 for j, r in pos if r}) for c, pos in wanted.items()}
-    got: dict[str, dict[int, float]] = {}
-    slack = 2
-    while missing := [c for c in ranks if c not in got]:
-        got |= _ranks_in_brackets(x, missing, {c: ranks[c] for c in missing}, dict(zip(names, n_of)), slack / _ACCURACY)
-        slack *= 8
+    wanted = {i: [((n - 1) * k // steps, (n - 1) * k % steps) for k in range(count)] for i, n in enumerate(n_of) if n}
+    ranks = {i: sorted({j for j, _ in pos} | {j + 1 for j, r in pos if r}) for i, pos in wanted.items()}
+    got = _values_of_ranks(x, ranks, [_Cell(i, -math.inf, math.inf, 0, n_of[i]) for i in ranks], most)
     out: dict[str, list[float]] = {c: [] for c in cols}
-    for name, pos in wanted.items():
-        v = got[name]
-        out[cols[int(name[2:])]] = [v[j] if r == 0 else lerp(v[j], v[j + 1], r / steps) for j, r in pos]
+    for i, pos in wanted.items():
+        v = got[i]
+        out[cols[i]] = [v[j] if r == 0 else lerp(v[j], v[j + 1], r / steps) for j, r in pos]
     return out
 
 
-def _ranks_in_brackets(x: DataFrame, cols: list[str], ranks: dict[str, list[int]], n_of: dict[str, int],
-                       slack: float) -> dict[str, dict[int, float]]:
-    """Values at the given ranks of each column whose brackets hold all of its ranks."""
-    asked = {c: [p for r in ranks[c] for p in (max(0.0, (r - 1) / n_of[c] - slack), min(1.0, (r + 2) / n_of[c] + slack))]
-             for c in cols}
-    near = x.agg(*[F.percentile_approx(c, asked[c], _ACCURACY).alias(c) for c in cols]).first()
-    spans: dict[str, list[list[float]]] = {}
-    for c in cols:  # brackets that touch are one
-        spans[c] = []
-        for lo, hi in sorted(zip(near[c][::2], near[c][1::2])):
-            if spans[c] and lo <= spans[c][-1][1]:
-                spans[c][-1][1] = max(hi, spans[c][-1][1])
-            else:
-                spans[c].append([lo, hi])
-    parts = [(c, lo, hi) for c in cols for lo, hi in spans[c]]
-    inside = [F.col(c).between(lo, hi) for c, lo, hi in parts]
-    counts = x.agg(*[F.count_if(F.col(c) < lo) for c, lo, _ in parts], *[F.count_if(k) for k in inside]).first()
-    below, held = counts[:len(parts)], counts[len(parts):]
-    kept = F.filter(F.array(*[F.when(k, F.struct(F.lit(i).alias("_f"), F.col(c).alias("_v")))
-                              for i, ((c, _, _), k) in enumerate(zip(parts, inside))]), lambda v: v.isNotNull())
-    hist = x.select(F.explode(kept).alias("k")).groupBy("k._f", "k._v").agg(F.count(F.lit(1)).alias("_n"))
-    place = {}  # global rank in the histogram -> (column, rank)
-    complete = set(cols)
-    for c in cols:
-        found = 0
-        for i, (own, _, _) in enumerate(parts):
-            if own == c:
-                for r in ranks[c]:
-                    if below[i] <= r < below[i] + held[i]:
-                        place[sum(held[:i]) + r - below[i]] = (c, r)
-                        found += 1
-        if found < len(ranks[c]):
-            complete.discard(c)
-    out: dict[str, dict[int, float]] = {c: {} for c in complete}
-    if not place:
-        return out
-    h = prefix_sums(hist, ["_f", "_v"], ["_n"])
-    for r in _pick_ranks(h, "_v", sorted(place)).collect():
-        c, rank = place[int(r["rank"])]
-        if c in complete:
-            out[c][rank] = float(r["value"])
+def _values_of_ranks(x: DataFrame, ranks: dict[int, list[int]], cells: list[_Cell], most: int) -> dict[int, dict[int, float]]:
+    cuts = _FIRST_CUTS
+    while sum(c.n for c in cells if not c.single) > most:
+        cells = [c for c in _narrowed(x, cells, cuts) if c.holds(ranks[c.column])]
+        cuts = _CUTS
+    got: dict[int, dict[int, float]] = {i: {} for i in ranks}
+
+    def take(column: int, value: float, first: int, n: int) -> None:
+        own = ranks[column]
+        for r in own[bisect.bisect_left(own, first):bisect.bisect_left(own, first + n)]:
+            got[column][r] = value
+
+    for c in cells:
+        if c.single:
+            take(c.column, c.lo, c.below, c.n)
+    many = [c for c in cells if not c.single]
+    if many:
+        rows = _in_cells(x, many).groupBy("cell", "v").agg(F.count(F.lit(1)).alias("n")).toArrow()  # at most ``most`` rows
+        cell, v, n = (rows[k].to_numpy() for k in ("cell", "v", "n"))
+        order = np.lexsort((v, cell))
+        at = {k: c.below for k, c in enumerate(many)}
+        for k, value, times in zip(cell[order].tolist(), v[order].tolist(), n[order].tolist()):
+            take(many[k].column, value, at[k], times)
+            at[k] += times
+    return got
+
+
+def _in_cells(x: DataFrame, cells: list[_Cell]) -> DataFrame:
+    """(cell, v) of the values inside the cells."""
+    splits, numbers = {}, {}
+    for i in sorted({c.column for c in cells}):
+        own = [c for c in cells if c.column == i]
+        inner = sorted({e for c in own for e in (c.lo, c.hi)} - {-math.inf, math.inf})
+        splits[i] = [-math.inf, *inner, math.inf]
+        starts = {c.lo: k for k, c in enumerate(cells) if c.column == i}
+        numbers[i] = F.array(*[F.lit(starts.get(e, -1)) for e in splits[i][:-1]])
+    y = x.select(*[f"_x{i}" for i in splits])
+    cut = [i for i in splits if len(splits[i]) > 2]
+    if cut:
+        y = Bucketizer(splitsArray=[splits[i] for i in cut], inputCols=[f"_x{i}" for i in cut],
+                       outputCols=[f"_p{i}" for i in cut], handleInvalid="keep").transform(y)
+    place = {i: F.try_element_at(numbers[i], F.col(f"_p{i}").cast("int") + 1) if i in cut else numbers[i][0] for i in splits}
+    parts = [F.when(F.col(f"_x{i}").isNotNull(), F.struct(place[i].alias("cell"), F.col(f"_x{i}").alias("v"))) for i in splits]
+    return y.select(F.explode(F.array(*parts)).alias("e")).select("e.cell", "e.v").where("cell >= 0")
+
+
+def _narrowed(x: DataFrame, cells: list[_Cell], cuts: int) -> list[_Cell]:
+    """The cells cut at quantiles of their own values, with exact counts."""
+    steps = F.array(*[F.lit(i / cuts) for i in range(cuts + 1)])
+    many = [c for c in cells if not c.single]
+    sketched = _in_cells(x, many).groupBy("cell").agg(F.kll_sketch_agg_double("v", F.lit(_SKETCH)).alias("s"))
+    found = sketched.select("cell", F.kll_sketch_get_quantile_double("s", steps).alias("q")).collect()
+    out = [c for c in cells if c.single]
+    parts: list[_Cell] = []
+    for r in found:
+        c = many[r["cell"]]
+        inner = sorted({e for q in r["q"] for e in (q, math.nextafter(q, math.inf)) if c.lo < e < c.hi})
+        edges = [c.lo, *inner, c.hi]
+        parts += [_Cell(c.column, a, b, r["cell"], 0) for a, b in zip(edges, edges[1:])]
+    held = {r["cell"]: r["n"] for r in _in_cells(x, parts).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    below = {k: c.below for k, c in enumerate(many)}
+    for k, p in enumerate(parts):  # parts of a cell are in ascending order
+        n = held.get(k, 0)
+        out.append(_Cell(p.column, p.lo, p.hi, below[p.below], n))
+        below[p.below] += n
     return out
 
 
+def values_at_ranks(values: DataFrame, value_col: str, ranks: list[int], most: int = MOST_VALUES) -> dict[int, float]:
+    """Exact order statistics: the value at each 0-based rank."""
+    x = values.select(F.col(value_col).cast("double").alias("_x0")).where("_x0 is not null and not isnan(_x0)")
+    return _values_of_ranks(x, {0: sorted(set(ranks))}, [_Cell(0, -math.inf, math.inf, 0, x.count())], most)[0]
+
+
 def grouped_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """Exact median of each column (mean of the two middle values); None without values."""
     return {c: q[1] if q else None for c, q in grouped_quantiles(df, cols, 3).items()}
 
 
-def _pick_ranks(h: DataFrame, value_col: str, ranks: list[int]) -> DataFrame:
-    """Rows of a histogram with ``_n`` and ``_n_before`` that cover the given
-    global ranks, as (rank, value)."""
-    targets = sorted(set(int(r) for r in ranks))
-    h = h.withColumn("_a", (F.col("_n_before") - 1).cast("double")).withColumn(
-        "_b", (F.col("_n_before") + F.col("_n") - 1).cast("double"))
-    splits = [t - 0.5 for t in targets]
-    h = bucket_index("_a", splits, "_ba").transform(h)
-    h = bucket_index("_b", splits, "_bb").transform(h)
-    arr = F.array(*[F.lit(t).cast("long") for t in targets])
-    return h.where(F.col("_bb") > F.col("_ba")).select(
-        F.explode(F.slice(arr, F.col("_ba").cast("int") + 1, (F.col("_bb") - F.col("_ba")).cast("int"))).alias("rank"),
-        F.col(value_col).alias("value"))
-
-
 def lerp(a: float, b: float, t: float) -> float:
     """Linear interpolation with the numerically symmetric form (t >= 0.5 from b)."""
     d = b - a
     return b - d * (1.0 - t) if t >= 0.5 else a + d * t
-
-
-def rank_quantiles(values: DataFrame, value_col: str, n: int, count: int) -> list[float]:
-    """``count`` evenly spaced linear quantiles (0..1) with exact integer ranks:
-    position (n-1)*i/(count-1); interpolate only when it is fractional."""
-    if n == 0:
-        return []
-    steps = count - 1
-    pos = [((n - 1) * i // steps, (n - 1) * i % steps) for i in range(count)]
-    need = {j for j, _ in pos} | {j + 1 for j, r in pos if r > 0}
-    got = {int(r["rank"]): float(r["value"]) for r in values_at_ranks(values, value_col, sorted(need)).collect()}
-    return [got[j] if r == 0 else lerp(got[j], got[j + 1], r / steps) for j, r in pos]

@@ -79,12 +79,7 @@ def q_psi(spark, sf_dir):
 
 @register("category_distance", BASE + f"SELECT feature, round(distance, 6) AS distance FROM ({TV_SQL})")
 def q_tv(spark, sf_dir):
-    ref, cur = (w.select(*DRIFT_CATEGORICAL).checkpoint() for w in windows(spark, sf_dir))
-    out = None
-    for c in DRIFT_CATEGORICAL:
-        p = dr.category_distance(ref, cur, c).select(F.lit(c).alias("feature"), r6("distance"))
-        out = p if out is None else out.unionByName(p)
-    return out
+    return dr.category_distances(*windows(spark, sf_dir), DRIFT_CATEGORICAL).select("feature", r6("distance"))
 
 
 @register("drift_report", BASE + f""",
