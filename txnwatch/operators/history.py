@@ -5,8 +5,8 @@ or (sender, receiver) pair that come strictly earlier in ``(timestamp, seq)``
 order.  A plain ``Window.partitionBy(account)`` would put all rows of a hot
 account into one task, so the history is computed as a two-level prefix sum:
 
-1. Rows are cut into time chunks of about equal row counts (quantiles of the
-   timestamp), so a hot account's part of a chunk is bounded.  Partial
+1. Rows are cut into chunks of about equal row counts (quantiles of the timestamp, and of
+   seq inside a time of very many rows), so a hot account's part of a chunk is bounded.  Partial
    aggregation gives one small row per (key, chunk); a window over that small
    table gives the totals of all *earlier* chunks (plus a state snapshot, if
    one is given).  These totals become "carry" rows.
@@ -38,14 +38,14 @@ _UNB = Window.unboundedPreceding
 ROWS_PER_CHUNK = 5_000_000
 
 
-def chunk_bounds(rows: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> list[int]:
-    """Times (microseconds) that cut the rows into chunks of about equal size.
+def chunk_bounds(rows: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> list[tuple[int, list[int]]]:
+    """Where the rows are cut into chunks of about equal size, in (timestamp, seq) order.
 
-    Bounds are quantiles of the timestamp, so a stray early row or a burst does not
-    change how many rows fall into a chunk; as a chunk has about
-    ``rows_per_chunk`` rows of all accounts, no account has more in it.  (Rows of one
-    microsecond are never cut.)  One aggregate over the timestamp column; no bounds
-    when one chunk is enough.
+    Bounds are quantiles of the timestamp (microseconds), so a stray early row or a burst does
+    not change how many rows fall into a chunk; as a chunk has about ``rows_per_chunk`` rows
+    of all accounts, no account has more in it.  A time that fills chunks by itself (times of
+    minute resolution, a day's batch) carries quantiles of its rows' ``seq``, which cut it
+    further.  No bounds when one chunk is enough.
     """
     t = F.unix_micros("timestamp")
     n = rows.select(t.alias("t")).agg(F.count("t")).first()[0]
@@ -54,17 +54,37 @@ def chunk_bounds(rows: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> list[
         return []
     steps = [i / k for i in range(1, k)]
     cuts = rows.agg(F.percentile_approx(t, steps, max(10_000, 4 * k)).alias("q")).first()["q"]
-    return sorted(set(cuts))
+    times = sorted(set(cuts))
+    heavy = [x for x in times if cuts.count(x) > 1]
+    inside: dict[int, list[int]] = {}
+    if heavy:
+        parts = max(cuts.count(x) for x in heavy) + 1
+        shares = [i / parts for i in range(1, parts)]
+        found = (rows.where(t.isin(heavy)).groupBy(t.alias("t"))
+                 .agg(F.percentile_approx("seq", shares, max(10_000, 4 * parts)).alias("q")).collect())
+        inside = {r["t"]: sorted(set(r["q"])) for r in found}
+    return [(x, inside.get(x, [])) for x in times]
 
 
-def with_chunk(df: DataFrame, bounds: list[int]) -> DataFrame:
-    """Adds the chunk number: how many bounds lie at or before the row's time."""
+def with_chunk(df: DataFrame, bounds: list[tuple[int, list[int]]]) -> DataFrame:
+    """Adds the chunk number: how many bounds lie at or before the row's (time, seq)."""
     if not bounds:
         # always 0, but no literal: as one it would vanish from the windows and not from the exchanges
         return df.withColumn(CHUNK, F.pmod(F.unix_micros("timestamp"), F.lit(1)))
     timed = df.withColumn("_time", F.unix_micros("timestamp").cast("double"))
-    out = bucket_index("_time", [float(b) for b in bounds], CHUNK).setHandleInvalid("keep").transform(timed)
-    return out.withColumn(CHUNK, F.col(CHUNK).cast("long")).drop("_time")
+    out = bucket_index("_time", [float(x) for x, _ in bounds], CHUNK).setHandleInvalid("keep").transform(timed)
+    at = F.col(CHUNK).cast("int")  # times at or before the row's
+    if not any(cuts for _, cuts in bounds):
+        return out.withColumn(CHUNK, at.cast("long")).drop("_time")
+    before = [0]
+    for _, cuts in bounds:  # seq cuts of earlier times
+        before.append(before[-1] + len(cuts))
+    heavy = [(x, cuts) for x, cuts in bounds if cuts]
+    of_time = F.create_map(*[e for x, cuts in heavy for e in (F.lit(float(x)), F.array(*[F.lit(c).cast("long") for c in cuts]))])
+    own = F.coalesce(F.try_element_at(of_time, F.col("_time")), F.array().cast("array<bigint>"))
+    done = F.size(F.filter(own, lambda c: c <= F.col("seq")))
+    earlier = F.coalesce(F.try_element_at(F.array(*[F.lit(x) for x in before]), at + 1), F.lit(before[-1])) - F.size(own)
+    return out.withColumn(CHUNK, (at + earlier + done).cast("long")).drop("_time")
 
 
 def _pair_chunks(r: DataFrame, pair_state: DataFrame | None) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +10,11 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from txnwatch.functions.contract import na_to_null
+from txnwatch.operators.ordinal import with_ordinal
 from txnwatch.session import checkpoint_path
 
+TOP_ROWS = 100_000
+BROADCAST_FILES = 500_000
 _ROW_BITS = 33  # bits of monotonically_increasing_id() that count rows in a task
 _FILE_BITS = 44  # bits of seq that hold a position in a file
 
@@ -22,23 +24,27 @@ def _plain(uri: Column) -> Column:
     return F.regexp_replace(uri, "^file:/+", "file:/")
 
 
-def with_file_order(df: DataFrame, row_index: bool = False) -> DataFrame:
+def _file_numbers(spark: SparkSession, path: str) -> DataFrame:
+    """_name, _file: the files of a path in name order.  Spark lists them; no content is read
+    and no list passes through the driver."""
+    names = spark.read.format("binaryFile").load(path).select(_plain(F.col("_metadata.file_path")).alias("_name"))
+    numbers = with_ordinal(names, ["_name"], "_file")
+    return F.broadcast(numbers) if numbers.count() <= BROADCAST_FILES else numbers
+
+
+def with_file_order(df: DataFrame, path: str, row_index: bool = False) -> DataFrame:
     """Add ``seq``: a unique bigint that increases with (file name, position in file).
 
     The position is the row index where the format has one (Parquet), else the
     split's first byte plus the row's number in its task; a row has at least a byte,
-    so splits of a file cannot meet.  Files are numbered from the listing that the
-    scan has made anyway: the data is read once, and the small table of file numbers
-    is joined without a hint.
+    so splits of a file cannot meet.  The data is read once and, but for very many files,
+    not shuffled: up to ``BROADCAST_FILES`` file numbers are broadcast.
     """
-    spark = df.sparkSession
-    names = sorted(re.sub("^file:/+", "file:/", f) for f in df.inputFiles())
-    order = spark.createDataFrame(list(zip(names, range(len(names)))), "_name string, _file long")
     row = F.col("_metadata.row_index") if row_index else (
         F.col("_metadata.file_block_start")
         + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
     marked = df.select("*", _plain(F.col("_metadata.file_path")).alias("_path"), row.alias("_row"))
-    joined = marked.join(order, F.col("_path") == F.col("_name"))
+    joined = marked.join(_file_numbers(df.sparkSession, path), F.col("_path") == F.col("_name"))
     return joined.withColumn("seq", F.shiftleft("_file", _FILE_BITS) + F.col("_row")).drop("_path", "_row", "_name", "_file")
 
 
@@ -50,7 +56,7 @@ def scan_csv(spark: SparkSession, path: str, max_rows: int | None = None,
     if na_tokens:
         df = df.select(*[na_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
     if add_seq and "seq" not in df.columns:
-        df = with_file_order(df)
+        df = with_file_order(df, path)
     return limit_rows(df, max_rows) if max_rows else df
 
 
@@ -58,7 +64,7 @@ def scan_parquet(spark: SparkSession, path: str, max_rows: int | None = None, ad
     """Parquet scan (column pruning and filters reach the reader), in file order."""
     df = spark.read.parquet(path)
     if add_seq and "seq" not in df.columns:
-        df = with_file_order(df, row_index=True)
+        df = with_file_order(df, path, row_index=True)
     return limit_rows(df, max_rows) if max_rows else df
 
 
@@ -70,8 +76,13 @@ def scan_transactions(spark: SparkSession, path: str, max_rows: int | None = Non
 
 
 def limit_rows(df: DataFrame, max_rows: int, order_col: str = "seq") -> DataFrame:
-    """S3: the first ``max_rows`` rows in file order (ordered top-k)."""
-    return df.orderBy(order_col).limit(int(max_rows))
+    """S3: the first ``max_rows`` rows in file order.  Up to ``TOP_ROWS`` that is a top-k; beyond,
+    the order column alone is ranked over all tasks and rows up to the last one's value stay."""
+    n = int(max_rows)
+    if n <= TOP_ROWS:
+        return df.orderBy(order_col).limit(n)
+    last = with_ordinal(df.select(order_col), [order_col], "_at").where(F.col("_at") == n - 1).select(order_col).first()
+    return df if last is None else df.where(F.col(order_col) <= F.lit(last[0]))
 
 
 def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
