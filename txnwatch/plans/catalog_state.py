@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnwatch.config import DEFAULT
-from txnwatch.operators import history, state
+from txnwatch.operators import history, state, state_tables
 from txnwatch.plans.catalog_features import FEAT_SQL, HISTORY_FEATURES
 from txnwatch.plans.fixtures import duckdb_with, txn
 from txnwatch.plans.registry import r6, register
+from txnwatch.sources import files
 
 CUT = "2024-01-16 00:00:00"
 
@@ -23,6 +24,13 @@ def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return t.where(F.col("timestamp") < cut), t.where(F.col("timestamp") >= cut)
 
 
+def stored(spark: SparkSession, hist: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The state of the history as a job finds it: saved to bucketed tables."""
+    path = files.scratch_path(spark, "state")
+    state_tables.save(state.account_state(hist), state.pair_state(hist), path)
+    return state_tables.load(spark, path)
+
+
 def _state_sql(src: str) -> str:
     return f"""
 s AS (SELECT from_account AS account, count(*) AS sent_count, sum(amount_paid) AS sent_total,
@@ -61,7 +69,7 @@ def q_pair_state(spark, sf_dir):
 @register("merge_state", duckdb_with("txn") + "," + _state_sql("txn") + STATE_SELECT)
 def q_merge_state(spark, sf_dir):
     hist, batch = split(spark, sf_dir)
-    acct, pairs = state.merge_state(state.account_state(hist), state.pair_state(hist), batch)
+    acct, _ = state.merge_state(*stored(spark, hist), batch)
     return _round_state(acct)
 
 
@@ -76,8 +84,7 @@ HIST_COLS = ", ".join(f"round({n}, 6) AS {n}" if d else n for n, d in HISTORY_FE
           + f"SELECT seq, {HIST_COLS} FROM feat WHERE timestamp >= TIMESTAMP '{CUT}'")
 def q_live(spark, sf_dir):
     hist, batch = split(spark, sf_dir)
-    f = history.live_features(batch, state.account_state(hist), state.pair_state(hist),
-                              DEFAULT.history_rows_per_chunk)
+    f = history.live_features(batch, *stored(spark, hist), DEFAULT.history_rows_per_chunk)
     return _feature_cols(f)
 
 
@@ -114,5 +121,5 @@ FROM k
 @register("score_features_snapshot", SNAPSHOT_SQL)
 def q_snapshot(spark, sf_dir):
     hist, batch = split(spark, sf_dir)
-    f = history.snapshot_features(batch, state.account_state(hist), state.pair_state(hist))
+    f = history.snapshot_features(batch, *stored(spark, hist))
     return _feature_cols(f)
