@@ -6,12 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnwatch import jobs
 from txnwatch.config import DEFAULT
 from txnwatch.operators import drift as dr
 from txnwatch.operators.history import causal_features
 from txnwatch.plans.catalog_features import FEAT_SQL
 from txnwatch.plans.fixtures import duckdb_with, txn
-from txnwatch.plans.registry import r6, register
+from txnwatch.plans.registry import ORACLE, r6, register
+from txnwatch.sources import files
 from txnwatch.schema import DRIFT_CATEGORICAL, DRIFT_NUMERIC
 
 CUT = "2024-01-16 00:00:00"
@@ -93,3 +95,16 @@ def q_drift(spark, sf_dir):
     ref, cur = windows(spark, sf_dir)
     _, summary = dr.drift_report(ref, cur)
     return summary.withColumn("max_drift", r6("max_drift"))
+
+
+@register("drift_job", ORACLE["drift_report"])
+def q_drift_job(spark, sf_dir):
+    """The drift job from two files: written, read, cleaned, compared, its report read back."""
+    t = txn(spark, sf_dir)
+    cut = F.lit(CUT).cast("timestamp")
+    base = files.scratch_path(spark, "drift")
+    for name, part in (("reference", t.where(F.col("timestamp") < cut)), ("current", t.where(F.col("timestamp") >= cut))):
+        part.drop("seq").write.parquet(f"{base}/{name}.parquet")
+    _, summary = jobs.drift_between(spark, f"{base}/reference.parquet", f"{base}/current.parquet", f"{base}/report")
+    found = files.scan_report_json(spark, f"{base}/report", schema=summary.schema)
+    return found.withColumn("max_drift", r6("max_drift"))

@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 
 from txnwatch import jobs
 from txnwatch.config import DEFAULT, PRODUCTION
+from txnwatch.functions.contract import parse_timestamp
 from txnwatch.operators import evaluate as ev
+from txnwatch.operators import history, state
 from txnwatch.operators import model as ml
+from txnwatch.operators.contract import upper_currency, validate_requests
+from txnwatch.operators.ordinal import with_ordinal
 from txnwatch.plans.catalog_contract import REQUEST_ERRORS_SQL
 from txnwatch.plans.catalog_evaluate import TRAIN_FRAC, VAL_FRAC
 from txnwatch.plans.catalog_features import FEAT_SQL, features
@@ -21,6 +25,9 @@ from txnwatch.plans.fixtures import duckdb_with, fixture, txn
 from txnwatch.plans.registry import r6, register
 from txnwatch.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from txnwatch.sources import files
+from txnwatch.streaming.replay import encode_transactions, replay_sink
+from txnwatch.streaming.scoring import read_alerts, stream_score
+
 
 def split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.temporal_split(features(spark, sf_dir)).checkpoint()
@@ -161,10 +168,41 @@ def q_bundle_load(spark, sf_dir):
 
 
 @register("score_job", duckdb_with("requests") + f"""
-SELECT seq, 'check' AS model_version, TRUE AS scored FROM requests WHERE len({REQUEST_ERRORS_SQL}) = 0""")
+SELECT seq, 'check' AS model_version, TRUE AS scored, TRUE AS decided FROM requests WHERE len({REQUEST_ERRORS_SQL}) = 0""")
 def q_score_job(spark, sf_dir):
-    """Requests scored with the saved bundle and its frozen state."""
-    _, path = trained(spark, sf_dir)
-    out = jobs.score_requests(spark, fixture(spark, sf_dir, "requests"), f"{path}/bundle", PRODUCTION)
-    return out.select("seq", "model_version", (F.col("risk_score").between(0, 1) & (
-        (F.col("decision") == "alert") == (F.col("risk_score") >= F.col("threshold")))).alias("scored"))
+    """Requests scored with the saved bundle and its frozen state, against the scores of the
+    trained model on features from the folded (not saved) state."""
+    b, path = trained(spark, sf_dir)
+    requests = fixture(spark, sf_dir, "requests")
+    out = jobs.score_requests(spark, requests, f"{path}/bundle", PRODUCTION)
+    t = txn(spark, sf_dir)
+    valid = validate_requests(requests).where("valid").drop("errors", "valid")
+    valid = upper_currency(valid).withColumn("timestamp", parse_timestamp(F.col("timestamp")))
+    feats = history.snapshot_features(valid, state.account_state(t), state.pair_state(t))
+    want = ml.predict_score(b.model, b.prep, feats, keep=["seq"]).withColumnRenamed("risk_score", "_want")
+    return out.join(want, "seq").select(
+        "seq", "model_version", (F.abs(F.col("risk_score") - F.col("_want")) < 1e-9).alias("scored"),
+        ((F.col("decision") == "alert") == (F.col("risk_score") >= F.lit(b.threshold))).alias("decided"))
+
+
+@register("stream_score_bundle", duckdb_with("txn") + """,
+o AS (SELECT row_number() OVER (ORDER BY seq) - 1 AS ri FROM txn)
+SELECT ri AS seq, TRUE AS same_score, TRUE AS alert_iff_over FROM o""")
+def q_stream_bundle(spark, sf_dir):
+    """A stream scored with the trained bundle: its scores equal those of the batch features,
+    and the stored alerts are the requests at or above the threshold."""
+    b, _ = trained(spark, sf_dir)
+    t = txn(spark, sf_dir)
+    topic, out = files.scratch_path(spark, "topic"), files.scratch_path(spark, "stream-out")
+    replay_sink(encode_transactions(t), topic)
+    limit = max(1, -(-t.count() // 2))
+    stream_score(spark, topic, out, scorer=ml.bundle_scorer(b), threshold=b.threshold, model_version=b.model_version,
+                 max_per_trigger=limit, checkpoint=files.scratch_path(spark, "stream-ck"))
+    numbered = with_ordinal(features(spark, sf_dir), ["seq"], "_ri")
+    batch = ml.predict_score(b.model, b.prep, numbered, keep=["_ri"]).select(F.col("_ri").alias("seq"), F.col("risk_score").alias("_want"))
+    streamed = ml.bundle_scorer(b)(spark.read.parquet(f"{out}/features")).select("seq", "risk_score")
+    alerts = read_alerts(spark, out).select(F.col("id").alias("seq"), F.col("risk_score").alias("_alert"))
+    return batch.join(streamed, "seq").join(alerts, "seq", "left").select(
+        "seq", (F.abs(F.col("risk_score") - F.col("_want")) < 1e-9).alias("same_score"),
+        F.when(F.col("_want") >= b.threshold, F.coalesce(F.abs(F.col("_alert") - F.col("_want")) < 1e-9, F.lit(False)))
+        .otherwise(F.col("_alert").isNull()).alias("alert_iff_over"))
