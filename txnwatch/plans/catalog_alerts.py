@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from txnwatch.operators import alerts as al
 from txnwatch.operators import monitoring as mo
 from txnwatch.operators import scoring as sc
+from txnwatch.operators import search_index
 from txnwatch.operators.contract import validate_requests
-from txnwatch.plans.catalog_features import scored_features
+from txnwatch.plans.catalog_contract import REQUEST_ERRORS_SQL
+from txnwatch.plans.catalog_features import FEAT_SQL, REASONS_SQL, scored_features
 from txnwatch.plans.fixtures import RISK_SCORE_SQL, duckdb_with, fixture
-from txnwatch.plans.registry import r6, register
+from txnwatch.plans.registry import ORACLE, r6, register
 from txnwatch.schema import EXPORT_COLUMNS, REQUEST_FIELDS, RISK_SCORE_BUCKETS
 from txnwatch.sources import files
 
@@ -39,9 +41,7 @@ def q_alert_id(spark, sf_dir):
     return scored(spark, sf_dir).select("seq", "alert_id")
 
 
-@register("score_batch", duckdb_with("txn") + "," + __import__(
-    "txnwatch.plans.catalog_features", fromlist=["FEAT_SQL"]).FEAT_SQL + "," + __import__(
-    "txnwatch.plans.catalog_features", fromlist=["REASONS_SQL"]).REASONS_SQL + f"""
+@register("score_batch", duckdb_with("txn") + "," + FEAT_SQL + "," + REASONS_SQL + f"""
 SELECT seq, transaction_id, {ALERT_ID_SQL} AS alert_id, round(risk_score, 6) AS risk_score, CAST(0.65 AS DOUBLE) AS threshold,
        CASE WHEN risk_score >= 0.65 THEN 'alert' ELSE 'allow' END AS decision,
        array_to_string(reason_codes, ',') AS reason_codes, 'v1' AS model_version
@@ -227,6 +227,14 @@ def q_search(spark, sf_dir):
     return al.alert_search(flat(spark, sf_dir), "A000001").select("alert_id")
 
 
+@register("alert_search_index", ORACLE["alert_search"])
+def q_search_index(spark, sf_dir):
+    """The same search through the inverted index of the whole table."""
+    table, path = flat(spark, sf_dir), files.scratch_path(spark, "search")
+    search_index.build(table, path)
+    return search_index.search(table, path, "A000001").select("alert_id")
+
+
 @register("explorer_options", ALERTS_WITH + """
 SELECT DISTINCT 'analyst_outcome' AS option, analyst_outcome AS value FROM alerts WHERE analyst_outcome IS NOT NULL
 UNION SELECT DISTINCT 'from_bank', json_extract_string(payload, '$.from_bank') FROM alerts
@@ -266,7 +274,7 @@ def q_detail(spark, sf_dir):
 
 REQUEST_STATUS_SQL = duckdb_with("requests", "scored") + """,
 rq AS (SELECT x.seq, x.e, s.risk_score, s.timestamp
-       FROM (SELECT seq, """ + __import__("txnwatch.plans.catalog_contract", fromlist=["REQUEST_ERRORS_SQL"]).REQUEST_ERRORS_SQL + """ AS e
+       FROM (SELECT seq, """ + REQUEST_ERRORS_SQL + """ AS e
              FROM requests) x JOIN scored s ON x.seq = s.seq),
 st AS (SELECT CASE WHEN len(e) > 0 THEN 'unknown' WHEN risk_score >= 0.65 THEN 'alert' ELSE 'allow' END AS decision,
               CASE WHEN len(e) > 0 THEN 'rejected' ELSE 'success' END AS status FROM rq)
