@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from txnwatch.llm import mixing, toxicity, url_templates
+from txnwatch.llm import hnsw, mixing, toxicity, url_templates
 
 from .test_table_operators import toxic_docs, water_fill
 
@@ -208,3 +208,21 @@ def test_long_paths_cost_in_proportion(spark):
     seconds(50)
     few = seconds(1000)
     assert seconds(10_000) < 12 * few
+
+
+# --- 3: extreme vectors, labels of any type -----------------------------------------------
+
+def test_vectors_of_extreme_size_link(spark):
+    rows = [(0, [1e200, 1e200], 1), (1, [1e200, 1e200], 1), (2, [3e-200, 3e-200], 1), (3, [1e-200, 1e-200], 1),
+            (4, [1.0, 1.0], 1), (5, [5e-324, 0.0], 1), (6, [0.0, 1e308], 1), (7, [0.0, 0.0], 1), (8, [1e200, -1e200], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in hnsw.near_duplicate_vectors(df).collect()}
+    assert got == {**{i: (4, 0) for i in range(5)}, 5: (0, 5), 6: (0, 6), 7: (0, 7), 8: (0, 8)}
+
+
+@pytest.mark.parametrize("kind,labels", [("string", ["a", "b", None]), ("double", [1.2, 1.7, None])])
+def test_labels_of_any_type_are_compared_by_value(spark, kind, labels):
+    rows = [(3 * i + k, [1.0, 0.5], label) for i in range(4) for k, label in enumerate(labels)]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in hnsw.near_duplicate_vectors(df).collect()}
+    assert got == {3 * i + k: ((3, k) if k < 2 else (0, 3 * i + k)) for i in range(4) for k in range(3)}

@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnwatch.llm.graph import components
 
@@ -227,6 +228,7 @@ def range_search(graph: Graph, queries: np.ndarray, radius: float, beam: int = B
         beam = min(2 * beam, n)
 
 
+BROADCAST_LABELS = 100_000
 _INDEX = "label long, shard int, cids binary, copies binary, vecs binary, dim int, levels binary, links binary"
 
 
@@ -322,9 +324,11 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = None
             if label is not None and e.is_valid and len(e.values) and not e.values.null_count:
                 x = e.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                norm = np.linalg.norm(x)
-                if not np.isfinite(x).all() or not norm or not np.isfinite(norm):
+                top = np.abs(x).max()
+                if not np.isfinite(top) or not top:
                     x = None
+                elif not 1e-100 < top < 1e100:  # by a power of two, so that squares stay in range
+                    x = np.ldexp(x, -int(np.frexp(top)[1]))
             blob = None if x is None else (x + 0.0).tobytes()
             cid.append(None if x is None else hashlib.blake2b(blob, digest_size=16).digest())
             vec.append(blob)
@@ -334,13 +338,23 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               names=["vec_id", "label", "cid", "vec", "dim"])
 
 
+def _numbered_labels(rows: DataFrame) -> DataFrame:
+    """Labels that are no whole numbers are numbered, each by its own value."""
+    if isinstance(rows.schema["label"].dataType, T.IntegralType):
+        return rows
+    known = rows.select(F.col("label").alias("_label")).where("_label IS NOT NULL").distinct()
+    known = known.withColumn("_n", F.monotonically_increasing_id()).checkpoint()
+    known = F.broadcast(known) if known.count() <= BROADCAST_LABELS else known
+    return rows.join(known, F.col("label") == F.col("_label"), "left").withColumn("label", F.col("_n"))
+
+
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.93, shard_rows: int = SHARD_ROWS,
                            block_rows: int = BLOCK_ROWS) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of ``vectors``
     (vec_id, embedding, label)."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
-                          F.col("embedding").cast("array<double>").alias("embedding"),
-                          F.col("label").cast("long").alias("label"))
+                          F.col("embedding").cast("array<double>").alias("embedding"), "label")
+    rows = _numbered_labels(rows).select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
     rows = rows.mapInArrow(_classes, "vec_id long, label long, cid binary, vec binary, dim int").checkpoint()
     key = ["label", "dim", "cid"]
     classes = (rows.filter("cid IS NOT NULL").groupBy(*key)
