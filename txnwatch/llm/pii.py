@@ -1,7 +1,8 @@
 r"""Personal data by weak supervision (DataFrame and SQL functions only).
 
 Candidates are all matches of the base patterns (email, ip, card, phone), valid or
-not, and of two looser ones (spelled-out addresses, national phone numbers).  Five
+not, and of looser ones (spelled-out addresses, national phone numbers, and runs
+of 16 characters or more with a letter, some of which are keys or tokens).  Five
 labelers vote on each candidate or abstain: the strict format (regex), prefixes and
 endings from gazetteers, words before it, what touches it, and its grouping.  An
 expectation-maximisation over the counts of vote patterns estimates how reliable each
@@ -30,7 +31,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("email", "ip", "card", "phone")
+#: Kinds of spans; the first four have base spans.
+KINDS = ("email", "ip", "card", "phone", "secret")
+BASE_KINDS = KINDS[:4]
 _RUN = "[A-Za-z0-9._%+-]"
 #: name: (kind, pattern, cheap condition without which there is no match)
 PATTERNS = {
@@ -42,6 +45,7 @@ PATTERNS = {
                          r"(?:\x20?[(\[]dot[)\]]\x20?[A-Za-z0-9-]+)++", "contains(text, 'at') and contains(text, 'dot')"),
     "national": ("phone", r"(?<![0-9+()-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])",
                  r"text rlike '[0-9]{3}[.-][0-9]{4}'"),
+    "opaque": ("secret", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+", "text rlike '[A-Za-z0-9+/_-]{16}'"),
 }
 #: Endings of addresses, issuer prefixes, reserved ip ranges, context words.
 TLDS = "com|org|net|edu|gov|info|io|co|de|fr|es|it|nl|eu|uk|us|ch|at|be|pl|ru|cn|jp|br|in|au|ca"
@@ -49,6 +53,10 @@ ISSUERS = "3[47]|4|5[1-5]|2[2-7]|6011|65|35|36|30"
 RESERVED = "0|10|127|255|192\\\\.168|169\\\\.254|2(?:2[4-9]|[34][0-9])"
 FOR = "e-?mail|mail|contact|reach|write|call|tel|phone|mobile|fax|card|visa|mastercard|ip|host|server|address"
 AGAINST = "version|isbn|issn|order|item|page|section|chapter|invoice|serial|checksum|id"
+SECRETS = ("token|secret|api[_-]?key|access[_-]?key|private[_-]?key|auth|authorization|bearer|password|passwd|pwd|"
+           "credentials?")
+DIGESTS = "sha-?[0-9]*|md5|checksum|commit|digest|hash|etag|revision|uuid"
+KEY_PREFIXES = "AKIA|ASIA|AIza|ghp_|gho_|github_pat_|glpat-|sk-|sk_live_|pk_live_|xox[abprs]-|ya29|eyJ"
 VOTES = ("format", "gazetteer", "words", "touch", "grouping")
 
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
@@ -65,6 +73,7 @@ VALID = {
     "phone": f"length({_DIGITS}) between 10 and 15",
     "spelled": "false",
     "national": "false",
+    "opaque": "false",
 }
 #: Votes 1 (personal data), 0 (not), null (abstains).
 FORMAT = {
@@ -74,6 +83,8 @@ FORMAT = {
     "phone": f"if(length({_DIGITS}) between 10 and 15, 1, 0)",
     "spelled": "cast(null as int)",
     "national": "cast(null as int)",
+    "opaque": "if(x.m rlike '^(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})$' or (x.m rlike '[a-z]' and x.m rlike '[A-Z]' "
+              "and x.m rlike '[0-9]' and not x.m rlike '[/-].*[/-]'), 1, 0)",
 }
 GAZETTEER = {
     "email": f"if(x.m rlike '[.](?:{TLDS})$', 1, cast(null as int))",
@@ -82,6 +93,7 @@ GAZETTEER = {
     "phone": f"if({_DIGITS} rlike '^[1-9]', 1, 0)",
     "spelled": f"if(x.m rlike '[\\\\x20)\\\\]](?:{TLDS})$', 1, 0)",
     "national": f"if({_DIGITS} rlike '^[2-9][0-9]{{2}}[2-9]', 1, 0)",
+    "opaque": f"if(x.m rlike '^(?:{KEY_PREFIXES})', 1, cast(null as int))",
 }
 GROUPING = {
     "email": "if(x.m rlike '[.][.]|^[.]|@-', 0, 1)",
@@ -91,9 +103,15 @@ GROUPING = {
     "phone": "if(length(regexp_replace(x.m, '[^(]', '')) = length(regexp_replace(x.m, '[^)]', '')), 1, 0)",
     "spelled": "1",
     "national": "1",
+    # letters and digits alternate as in random strings
+    "opaque": "if(regexp_count(x.m, '(?:[A-Za-z][0-9]|[0-9][A-Za-z])') >= 4, 1, 0)",
 }
 _WORDS = (f"case when x.b rlike '(?i)(?:^|[^a-z])(?:{FOR})[^a-z0-9]{{0,3}}$' then 1 "
           f"when x.b rlike '(?i)(?:^|[^a-z])(?:{AGAINST})[^a-z0-9]{{0,3}}$' then 0 end")
+_SECRET_WORDS = (f"case when x.b rlike '(?i)(?:^|[^a-z])(?:{SECRETS})[^a-z0-9]{{1,6}}$' then 1 "
+                 f"when x.b rlike '(?i)(?:^|[^a-z])(?:{DIGESTS})[^a-z0-9]{{0,6}}$' then 0 end")
+_SECRET_TOUCH = ("case when x.b rlike '[\"\\'=:]\\\\s?$' then 1 "
+                 "when x.b rlike '[./]$' or x.a rlike '^[./][A-Za-z0-9]' then 0 end")
 _TOUCH = "if(x.b rlike '[A-Za-z0-9_/=]$' or x.a rlike '^[A-Za-z0-9_/=%]', 0, cast(null as int))"
 
 
@@ -130,9 +148,12 @@ def candidates(docs: DataFrame) -> DataFrame:
     for n, (kind, _, _) in PATTERNS.items():
         # digit runs that are far from a card are not candidates
         some = f"filter(z_{n}, x -> length({_DIGITS}) >= 12)" if n == "card" else f"z_{n}"
+        if n == "opaque":  # nor are numbers; long words are, for what tells them from keys
+            some = f"filter(z_{n}, x -> x.m rlike '[A-Za-z]')"
+        words, touch = (_SECRET_WORDS, _SECRET_TOUCH) if n == "opaque" else (_WORDS, _TOUCH)
         found.append(F.expr(f"""transform({some}, x -> named_struct('s', x.s, 'k', {KINDS.index(kind)},
             'e', x.s + length(x.m), 'base', {VALID[n]}, 'format', {FORMAT[n]}, 'gazetteer', {GAZETTEER[n]},
-            'words', {_WORDS}, 'touch', {_TOUCH}, 'grouping', {GROUPING[n]}))"""))
+            'words', {words}, 'touch', {touch}, 'grouping', {GROUPING[n]}))"""))
     return df.select("doc_id", F.concat(*found).alias("found"))
 
 
@@ -243,7 +264,7 @@ def find_personal_data(docs: DataFrame, accept: float = 0.6) -> DataFrame:
 def personal_data(docs: DataFrame, accept: float = 0.6) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added."""
     out = find_personal_data(docs, accept)
-    count = [F.expr(f"cast(size(filter(base, x -> x.k = {i})) as bigint)").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    count = [F.expr(f"cast(size(filter(base, x -> x.k = {i})) as bigint)").alias(f"n_{k}") for i, k in enumerate(BASE_KINDS)]
     return out.select("doc_id", *count, F.sha2(F.expr(_joined("base")), 256).alias("base_sha256"),
                       F.expr(_joined("all")).alias("spans"),
                       (F.size("all") - F.size("base")).cast("long").alias("n_added"))
