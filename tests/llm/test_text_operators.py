@@ -95,6 +95,55 @@ def test_pii_added_spans_keep_base_ones(spark):
         assert starts == sorted(starts)
 
 
+SECRET = ["The key: token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\" here.", "TOKEN = \"9233A8ECF7C5B09FE5949719B6B82BC439E9329B\"!!",
+          "password=aB3dE5fG7hJ9kL1mN3pQ and a verylongwordwithoutanydigits", "commit 04dbebab91ab85687d33eeaaf9ac699e1188f962",
+          "see /usr/share/documentation2024/Introduction1 here", "auth: \"8f2b1c9d7e6a5f4b3c2d1e0f9a8b7c6d5e4f3a2b\", a@b.co"]
+
+
+def secret_candidates(text):
+    """Runs of 16 characters or more with a letter, and their votes, by plain patterns."""
+    out = []
+    for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}", text or ""):
+        x, b, a = m.group(), text[max(0, m.start() - 32):m.start()], text[m.end():m.end() + 8]
+        if not re.search("[A-Za-z]", x):
+            continue
+        mixed = all(re.search(p, x) for p in ("[a-z]", "[A-Z]", "[0-9]")) and not re.search("[/-].*[/-]", x)
+        shape = int(bool(re.fullmatch("[0-9a-f]{32,128}|[0-9A-F]{32,128}", x)) or mixed)
+        known = 1 if re.match(pii.KEY_PREFIXES, x) else None
+        word = (1 if re.search(rf"(?i)(?:^|[^a-z])(?:{pii.SECRETS})[^a-z0-9]{{1,6}}$", b) else
+                0 if re.search(rf"(?i)(?:^|[^a-z])(?:{pii.DIGESTS})[^a-z0-9]{{0,6}}$", b) else None)
+        touch = 1 if re.search(r"""["'=:]\s?$""", b) else 0 if re.search("[./]$", b) or re.match("[./][A-Za-z0-9]", a) else None
+        group = int(len(re.findall("[A-Za-z][0-9]|[0-9][A-Za-z]", x)) >= 4)
+        out.append((m.start(), m.end(), (shape, known, word, touch, group)))
+    return out
+
+
+def test_pii_secrets_match_brute_force(spark, docs):
+    """Candidates and votes by plain patterns, the model by its own steps on their counts."""
+    texts = [(10_000 + i, t) for i, t in enumerate(SECRET * 6)]
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    both = docs.select("doc_id", "text").union(given).union(spark.createDataFrame(texts, "doc_id long, text string"))
+    rows = [(r["doc_id"], r["text"], secret_candidates(r["text"])) for r in both.collect()]
+    table = sorted(Counter(v for _, _, found in rows for _, _, v in found).items(), key=repr)
+    bias, weights = pii._logistic(table, pii._posteriors(table))
+
+    def probability(votes):
+        z = bias + sum(0 if v is None else w[0] if v else w[1] for v, w in zip(votes, weights))
+        return 1 / (1 + math.exp(-z))
+
+    want = []
+    for i, text, found in rows:
+        base = base_spans(text)
+        own = [(a, b) for a, b, v in found if probability(v) >= 0.6 and not any(s < b and a < e for s, _, e, _ in base)]
+        want.append((i, ",".join(f"secret:{a}:{b}" for a, b in own)))
+    got = [(r["doc_id"], ",".join(s for s in r["spans"].split(",") if s.startswith("secret:"))) for r in pii.personal_data(both).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    hits = {i: s for i, s in want if i is not None and i >= 10_000}
+    found = {k: bool(hits[10_000 + k]) for k in range(6)}
+    assert found[0] and found[1] and found[5] and not found[4], found
+    assert sum(bool(re.search(r'(?i)token = "[0-9a-f]{40}"', r["text"] or "")) for r in given.collect()) > 3
+
+
 def test_pii_reliabilities_rank_the_labelers():
     # 200 clean positives, 60 clean negatives, and a labeler (place 3) that is right half of the time
     table = [((1, 1, None, None, 1), 100), ((1, 1, None, 0, 1), 100), ((0, 0, None, None, 0), 30),
