@@ -340,6 +340,26 @@ def test_ratio_matches_counts_of_plain_ngrams(spark):
     assert gain(model.threshold) == pytest.approx(max(gain(s) for s, _ in held))
 
 
+def test_quality_learns_from_every_labelled_document(spark):
+    """More labels than the old bound of 20,000 a class: counts and threshold come from all."""
+    ids = spark.range(48_000).withColumnRenamed("id", "doc_id")
+    good = F.col("doc_id") < 44_000
+    docs = ids.select("doc_id", F.when(good, F.concat(F.lit("w"), "doc_id")).otherwise("!!").alias("text"))
+    labels = ids.select("doc_id", good.cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    sample = quality.labelled_rows(docs, labels)
+    assert {r["good"]: r["count"] for r in sample.groupBy("good").count().collect()} == {True: 44_000, False: 4_000}
+    model = quality.fit(docs, labels, bits=12)
+    half = sample.filter("good and half")
+    trusted = quality.bucket_counts(half, 12)
+    assert trusted.sum() == half.count() > 20_000
+    assert np.allclose(model.ratio, quality.log_ratio(trusted, quality.bucket_counts(docs, 12), 1.0))
+    held = [(r["llr"], r["good"]) for r in quality.score(sample.filter("not half"), model).collect()]
+    s, g = np.array([x for x, _ in held]), np.array([y for _, y in held])
+    cuts = np.unique(s)
+    gains = [(~g & (s < c)).sum() / (~g).sum() - (g & (s < c)).sum() / g.sum() for c in cuts]
+    assert model.threshold == cuts[np.argmax(gains)]
+
+
 def test_quality_without_labels_and_with_empty_tables(spark, docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     for table in (docs, no_docs):

@@ -11,11 +11,11 @@ score is the mean of log p(trusted) - log p(raw) over its n-grams: the length do
 Every document whose score is at least the threshold passes; no draw is involved.
 
 The raw counts cover all n-grams of all documents: one vector of buckets a task, added up in
-Spark.  The trusted counts and the threshold are learnt on at most ``max_rows`` labelled
-documents of each class (a documented bound; the ids of smallest hash): one half, by another
-hash of the id, gives the counts, the other the threshold that parts the classes best
+Spark.  The trusted counts and the threshold are learnt on all labelled documents: one half, by
+a hash of the id, gives the counts, the other the threshold that parts the classes best
 (largest share of trusted kept less share of the others kept; the lowest of equal ones).
-The driver sees 2 ** ``bits`` counts and the scores of that sample, whatever the input.
+Each half is joined with its labels where it is used; the cut is found by prefix sums over
+the distinct scores.  The driver sees 2 ** ``bits`` counts and one cut, whatever the input.
 
 Defined results: null and empty texts have no words and fail the rules.  Several labels of a
 document count as trusted if all say so; null labels and null ids are ignored; repeats of a
@@ -32,11 +32,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnwatch.llm.text import PUNCT, SPACE, WordTable, chunks, mix64, span_hashes
+from txnwatch.operators.ordinal import prefix_sums
 
 WINDOW = 8
 #: Byte classes of the method's tokens: blank 0, letters and digits 1, others 2.
@@ -166,19 +167,23 @@ def bucket_counts(docs: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """text, good, half: at most max_rows labelled documents of each class."""
+def in_half() -> Column:
+    """Whether a document's labels give the counts (else the threshold)."""
+    return F.xxhash64(F.lit(3), F.col("doc_id").cast("string")) % 2 == 0
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """text, good, half of all labelled documents, or of at most ``max_rows`` of each class."""
     known = (labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg((F.min("quality") > 0).alias("good")))
-    order = [F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id")]
-    picked = known.filter("good").orderBy(*order).limit(max_rows).union(
-        known.filter("not good").orderBy(*order).limit(max_rows))
-    picked = picked.select(F.col("doc_id").alias("_id"), "good",
-                           (F.xxhash64(F.lit(3), F.col("doc_id").cast("string")) % 2 == 0).alias("half"))
-    # at most 2 * max_rows ids
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
-    one = rows.groupBy("_id", "good", "half").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first"))
-    return one.select(F.col("first.text").alias("text"), "good", "half")
+    if max_rows is not None:
+        order = [F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id")]
+        known = known.filter("good").orderBy(*order).limit(max_rows).union(
+            known.filter("not good").orderBy(*order).limit(max_rows))
+    # by shuffle at any size: labels grow with the documents
+    rows = docs.select("doc_id", "text").join(known.hint("merge"), "doc_id")
+    one = rows.groupBy("doc_id", "good").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first"))
+    return one.select(F.col("first.text").alias("text"), "good", in_half().alias("half"))
 
 
 def log_ratio(trusted: np.ndarray, raw: np.ndarray, smoothing: float) -> np.ndarray:
@@ -188,28 +193,27 @@ def log_ratio(trusted: np.ndarray, raw: np.ndarray, smoothing: float) -> np.ndar
             - np.log((raw + smoothing) / (raw.sum() + smoothing * b)))
 
 
-def best_threshold(score: np.ndarray, good: np.ndarray) -> float:
-    """The lowest score whose cut keeps the largest share of good less share of others."""
-    if not len(score) or good.all() or not good.any():
+def best_threshold(scored: DataFrame) -> float:
+    """The lowest llr whose cut keeps the largest share of good less share of others."""
+    # a cut stands before all rows of equal score
+    found = scored.groupBy("llr").agg(F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b")).checkpoint()
+    total = found.agg(F.sum("g").alias("g"), F.sum("b").alias("b")).first()
+    if not total["g"] or not total["b"]:
         return float("-inf")
-    order = np.argsort(score, kind="stable")
-    s, g = score[order], good[order]
-    lost_good = np.cumsum(g) - g
-    lost_bad = np.cumsum(~g) - ~g
-    gain = lost_bad / (~g).sum() - lost_good / g.sum()
-    first = np.append(True, s[1:] > s[:-1])  # a cut stands before all rows of equal score
-    return float(s[first][np.argmax(gain[first])])
+    gain = F.col("b_before") / total["b"] - F.col("g_before") / total["g"]
+    cuts = prefix_sums(found, ["llr"], ["g", "b"]).select("llr", gain.alias("gain"))
+    return float(cuts.orderBy(F.col("gain").desc(), "llr").first()["llr"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, bits: int = 16,
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int | None = None, bits: int = 16,
         smoothing: float = 1.0) -> QualityModel:
     raw = bucket_counts(docs, bits)
-    sample = labelled_rows(docs, labels, max_rows).checkpoint()  # read twice
-    trusted = bucket_counts(sample.filter("good and half"), bits)
+    # the half is told by the id, so each pass joins and moves the texts of its half only
+    trusted = bucket_counts(labelled_rows(docs.filter(in_half()), labels, max_rows).filter("good"), bits)
     model = QualityModel(log_ratio(trusted, raw, smoothing), float("-inf"), bits)
     if trusted.any():
-        rows = score(sample.filter("not half"), model).select("llr", "good").toArrow()
-        model.threshold = best_threshold(rows["llr"].to_numpy(), rows["good"].to_numpy())
+        others = labelled_rows(docs.filter(~in_half()), labels, max_rows)
+        model.threshold = best_threshold(score(others, model).select("llr", "good"))
     return model
 
 
